@@ -149,23 +149,18 @@ def silver_enriched(
 ) -> None:
     """Rebuild the enriched dates whose readings or weather changed.
 
-    The two source tables are each followed by their own stream, used only for the dates it
-    delivers. Later building versions do not touch dates that are not rebuilt.
+    One stream follows both source tables and is used only for the dates it delivers. Later
+    building versions do not touch dates that are not rebuilt.
     """
 
-    def rebuild(dates: set[dt.date | None]) -> None:
+    def rebuild(batch: DataFrame, _: int) -> None:
+        dates = touched_dates(batch, READING_DATE)
         of_dates = stored_table(spark, readings).filter(on_dates(READING_DATE, dates))
         at = stored_table(spark, weather).filter(on_dates(WEATHER_DATE, dates))
         result = enrich_readings(of_dates, read_snapshot(spark, buildings), at, base_year)
         grow_table_schema(spark, target, result.schema)
         overwrite_partitions(result, target, READING_DATE)
 
-    def follow(table: str, date_column: str, name: str) -> None:
-        stream_apply(
-            stored_stream(spark, table, max_files).select(date_column),
-            lambda batch, _: rebuild(touched_dates(batch, date_column)),
-            f"{checkpoint}/{name}",
-        )
-
-    follow(readings, READING_DATE, "readings")
-    follow(weather, WEATHER_DATE, "weather")
+    of_readings = stored_stream(spark, readings, max_files).select(READING_DATE)
+    of_weather = stored_stream(spark, weather, max_files).select(F.col(WEATHER_DATE).alias(READING_DATE))
+    stream_apply(of_readings.union(of_weather), rebuild, checkpoint)
