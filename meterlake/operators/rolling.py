@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.functions.numeric import SCALE, as_exact
 
+# Windows per chunk: a quarter of the sums is copied, a chunk spans five windows at most.
+CHUNK_WINDOWS = 4
 NAN, PLUS, MINUS = float("nan"), float("inf"), float("-inf")
 
 
@@ -34,63 +36,57 @@ def rolling_mean(
 
     A window over the raw rows would put a key's whole history into one task and re-add the
     frame for every row. Instead rows are first summed per key and second, with partial
-    sums before the shuffle. The sums are cut into chunks as long as the window; a chunk
-    also gets the sums of the chunk before it, the only other one its frames can reach.
+    sums before the shuffle. The sums are cut into chunks of a few windows; the sums in the
+    last window of a chunk are also copied to the next one, whose frames can reach them.
     Inside a chunk the frame is the difference of two running totals, linear in the number
-    of seconds, and a chunk never holds more than two windows of seconds whatever the
-    number of rows. The result, one row per key and second, is joined back.
+    of seconds, and the number of seconds in a chunk is bounded whatever the number of
+    rows. The result, one row per key and second, is joined back.
     """
     second = f"_{out}_second"
     df = df.withColumn(second, F.col(ts).cast("long"))
+    groups = {k: f"_{out}_{k}" for k in keys}
     raw = F.col(value).cast("double")
     exact = as_exact(raw, scale)
+    marks = F.when(F.isnan(raw), 1).when(raw == PLUS, 2).when(raw == MINUS, 4).otherwise(0)
     per_second = (
-        df.select(*[F.col(k).alias(f"_{out}_{k}") for k in keys], second, value)
-        .groupBy(*[f"_{out}_{k}" for k in keys], second)
-        .agg(
-            F.sum(exact).alias("s"),
-            F.count(exact).alias("n"),
-            F.bool_or(F.isnan(raw)).alias("nan"),
-            F.bool_or(raw == F.lit(PLUS)).alias("plus"),
-            F.bool_or(raw == F.lit(MINUS)).alias("minus"),
-        )
-    )
-    # Rows without a time have only each other as peers; one copy is enough.
-    copies = F.when(F.col(second).isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
-    chunks = per_second.withColumn("copy", F.explode(copies)).withColumn(
-        "chunk", F.floor(F.col(second) / seconds) + F.col("copy")
+        df.select(*[F.col(k).alias(g) for k, g in groups.items()], F.col(second).alias("s"), value)
+        .groupBy(*groups.values(), "s")
+        .agg(F.sum(exact).alias("total"), F.count(exact).alias("n"), F.bit_or(marks).alias("marks"))
     )
+    span = CHUNK_WINDOWS * seconds
+    own, last = F.floor(F.col("s") / span), F.floor((F.col("s") + seconds) / span)
+    # The outer form keeps rows without a time, which have only each other as peers.
+    chunks = per_second.select("*", F.explode_outer(F.sequence(own, last)).alias("chunk"))
 
-    in_chunk = Window.partitionBy(*[f"_{out}_{k}" for k in keys], "chunk").orderBy(second)
+    in_chunk = Window.partitionBy(*groups.values(), "chunk").orderBy("s")
     upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = in_chunk.rangeBetween(Window.unboundedPreceding, -seconds - 1)
 
-    def in_frame(column: str):
-        earlier = F.when(F.col(second).isNotNull(), F.sum(column).over(before))
-        total = F.sum(column).over(upto)
-        return F.coalesce(total - earlier, total)
+    def in_frame(column: str) -> Column:
+        earlier = F.when(F.col("s").isNotNull(), F.sum(column).over(before))
+        reached = F.sum(column).over(upto)
+        return F.coalesce(reached - earlier, reached)
 
-    def seen(flag: str):
-        latest = F.max(F.when(F.col(flag), F.col(second))).over(upto)
-        own = F.col(second).isNull() & F.col(flag)
-        return F.coalesce(latest >= F.col(second) - seconds, own, F.lit(False))
+    def marked(bit: int) -> Column:
+        here = F.col("marks").bitwiseAND(bit) > 0
+        latest = F.max(F.when(here, F.col("s"))).over(upto)
+        return F.when(F.col("s").isNull(), here).otherwise(latest >= F.col("s") - seconds)
 
     framed = chunks.select(
-        *[f"_{out}_{k}" for k in keys],
-        F.col(second).alias(f"{second}_r"),
-        "copy",
-        in_frame("s").alias("s"),
+        *groups.values(),
+        "s",
+        "chunk",
+        in_frame("total").alias("total"),
         in_frame("n").alias("n"),
-        seen("nan").alias("nan"),
-        seen("plus").alias("plus"),
-        seen("minus").alias("minus"),
-    ).filter("copy = 0")
+        marked(1).alias("nan"),
+        marked(2).alias("plus"),
+        marked(4).alias("minus"),
+    ).filter(F.col("chunk").eqNullSafe(own))
     mean = (
         F.when(F.col("nan") | (F.col("plus") & F.col("minus")), F.lit(NAN))
         .when(F.col("plus"), F.lit(PLUS))
         .when(F.col("minus"), F.lit(MINUS))
-        .when(F.col("n") > 0, F.col("s").cast("double") / F.col("n"))
+        .when(F.col("n") > 0, F.col("total").cast("double") / F.col("n"))
     )
-    means = framed.select(*[f"_{out}_{k}" for k in keys], f"{second}_r", mean.alias(out))
-    on = {k: f"_{out}_{k}" for k in keys} | {second: f"{second}_r"}
-    return join_back(df, means, on).drop(second)
+    means = framed.select(*groups.values(), F.col("s").alias(f"{second}_r"), mean.alias(out))
+    return join_back(df, means, groups | {second: f"{second}_r"}).drop(second)
