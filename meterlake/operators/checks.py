@@ -112,9 +112,11 @@ def at_least_share(
     part: DataFrame, whole: DataFrame, share: float, table: str, name: str
 ) -> DataFrame:
     """``part`` must have at least the given share of the rows of ``whole``."""
-    size = F.count(F.lit(1))
-    both = part.agg(size.alias("part")).join(whole.agg(size.alias("whole")), F.lit(True))
-    part_rows, whole_rows = F.max("part"), F.max("whole")
+    def rows_of(df: DataFrame, name: str, other: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias(name)).withColumn(other, F.lit(0))
+
+    both = rows_of(part, "part", "whole").unionByName(rows_of(whole, "whole", "part"))
+    part_rows, whole_rows = F.sum("part"), F.sum("whole")
     missing = F.greatest(F.ceil(whole_rows * F.lit(share)) - part_rows, F.lit(0))
     note = F.concat_ws("", F.lit("rows="), part_rows.cast("string"), F.lit(" of "), whole_rows.cast("string"))
     return metric_checks(both, table, {name: (missing, note)})

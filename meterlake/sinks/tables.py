@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from meterlake.sinks import files
 
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True once a write to the path has completed (or a partition has been added)."""
@@ -20,6 +24,17 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
+def read_partitions(
+    spark: SparkSession, path: str, schema: StructType, column: str, values: Iterable
+) -> DataFrame:
+    """Rows of some partitions. Only their folders are listed, not the files of the whole table."""
+    wanted = {f"{column}={_NULL_PARTITION if value is None else value}" for value in values}
+    folders = [f"{path}/{name}" for name in files.names(spark, path) if name in wanted]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def _layout(df: DataFrame, partition_by: str | None):
     """Gather each partition's rows into well-sized files.
 

@@ -13,9 +13,8 @@ from meterlake.streaming.runners import stream_apply
 from meterlake.streaming.silver import (
     READING_DATE,
     grow_table_schema,
-    on_dates,
+    stored_dates,
     stored_stream,
-    stored_table,
     touched_dates,
 )
 
@@ -25,7 +24,7 @@ def _follow_dates(spark: SparkSession, source: str, target: str, build, checkpoi
 
     def rebuild(batch: DataFrame, _: int) -> None:
         dates: set[dt.date | None] = touched_dates(batch, READING_DATE)
-        rows = stored_table(spark, source).filter(on_dates(READING_DATE, dates))
+        rows = stored_dates(spark, source, READING_DATE, dates)
         result = build(rows)
         grow_table_schema(spark, target, result.schema)
         overwrite_partitions(result, target, READING_DATE)

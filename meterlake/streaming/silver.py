@@ -14,7 +14,12 @@ from meterlake.operators.enrich import BASE_YEAR, enrich_readings
 from meterlake.operators.readings import READING_GRAIN, detect_spikes, transform_readings
 from meterlake.operators.weather import clean_weather
 from meterlake.sinks.snapshots import read_snapshot
-from meterlake.sinks.tables import overwrite_partitions, restate_partitions, table_exists
+from meterlake.sinks.tables import (
+    overwrite_partitions,
+    read_partitions,
+    restate_partitions,
+    table_exists,
+)
 from meterlake.sources.schemas import evolve_schema, load_schema, save_schema
 from meterlake.sources.streams import table_stream
 from meterlake.streaming.bronze import INGEST, bronze_schema
@@ -25,7 +30,7 @@ NEWEST = ["ingestion_timestamp", "source_file_name"]
 
 
 def on_dates(column: str, dates: Iterable[dt.date | None]) -> Column:
-    """Filter on a partition column, pruned when planning. A null date stands for itself."""
+    """Filter by date; a null date stands for itself."""
     known = [d for d in dates if d is not None]
     matches = F.col(column).isin(known) if known else F.lit(False)
     return (matches | F.col(column).isNull()) if None in dates else matches
@@ -51,6 +56,13 @@ def stored_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(load_schema(spark, f"{table}.schema")).parquet(table)
 
 
+def stored_dates(
+    spark: SparkSession, table: str, column: str, dates: Iterable[dt.date | None]
+) -> DataFrame:
+    """Some dates of a table that is partitioned by date."""
+    return read_partitions(spark, table, load_schema(spark, f"{table}.schema"), column, dates)
+
+
 def stored_stream(spark: SparkSession, table: str, max_files: int | None = None) -> DataFrame:
     return table_stream(spark, table, load_schema(spark, f"{table}.schema"), max_files)
 
@@ -86,7 +98,7 @@ def silver_readings(
 
         rows = incoming
         if table_exists(spark, target):
-            history = stored_table(spark, target).filter(on_dates(READING_DATE, needed))
+            history = stored_dates(spark, target, READING_DATE, needed)
             base = history.drop("rolling_avg_7d", "is_spike")
             rows = base.unionByName(incoming, allowMissingColumns=True)
         rows = latest_by(rows, READING_GRAIN, NEWEST)
@@ -155,8 +167,8 @@ def silver_enriched(
 
     def rebuild(batch: DataFrame, _: int) -> None:
         dates = touched_dates(batch, READING_DATE)
-        of_dates = stored_table(spark, readings).filter(on_dates(READING_DATE, dates))
-        at = stored_table(spark, weather).filter(on_dates(WEATHER_DATE, dates))
+        of_dates = stored_dates(spark, readings, READING_DATE, dates)
+        at = stored_dates(spark, weather, WEATHER_DATE, dates)
         result = enrich_readings(of_dates, read_snapshot(spark, buildings), at, base_year)
         grow_table_schema(spark, target, result.schema)
         overwrite_partitions(result, target, READING_DATE)
