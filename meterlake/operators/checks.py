@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.numeric import count_where
 
+# Columns of the check log.
 LOG_COLUMNS = ["check_name", "checked_at", "details", "passed", "table"]
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.numeric import ratio
 
+# Reference year for ages, and the columns taken from each side.
 BASE_YEAR = 2016
 BUILDING_COLUMNS = [
     "building_id",

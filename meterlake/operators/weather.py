@@ -10,6 +10,7 @@ from meterlake.functions.labels import temperature_band
 from meterlake.operators.fill import fill_with_medians, forward_fill
 from meterlake.operators.readings import RESCUED
 
+# Measured columns, those without a sign, and those whose gaps are filled.
 MEASURES = [
     "air_temperature",
     "cloud_coverage",

@@ -68,6 +68,7 @@ def dim_building(buildings: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:
     )
 
 
+# Columns of the weather dimension besides its key.
 WEATHER_CONDITION_COLUMNS = [
     "site_id",
     "weather_date",

@@ -10,6 +10,7 @@ from meterlake.functions.labels import METER_TYPES
 from meterlake.functions.numeric import count_where, exact_sum, ratio
 from meterlake.operators.enrich import current_versions
 
+# Columns of the hourly fact.
 FACT_COLUMNS = [
     "reading_key",
     "date_key",

@@ -21,6 +21,7 @@ from meterlake.operators.checks import (
 )
 from meterlake.operators.enrich import current_versions
 
+# Table names in the log. The check names below are fixed as well.
 METER, WEATHER, BUILDING = "bronze_meter_readings", "bronze_weather_readings", "bronze_building_metadata"
 READINGS, CLEAN_WEATHER, ENRICHED = "silver_readings", "silver_weather", "silver_enriched"
 FACT, DAILY = "fact_meter_readings", "fact_daily_building_summary"
