@@ -45,6 +45,11 @@ def top_preview(df: DataFrame, order: list[Column | str], rows: int) -> DataFram
     return df.orderBy(*order).limit(rows)
 
 
+def preview(df: DataFrame, rows: int) -> DataFrame:
+    """Any few rows; Spark stops reading once it has them."""
+    return df.limit(rows)
+
+
 def counted(df: DataFrame, name: str, **flags: str) -> tuple[DataFrame, Observation]:
     """``df`` with counters that fill while it is written, so a report needs no second run."""
     watch = Observation(name)

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from meterlake.operators.checks import as_log, require_passed, write_check_log
+from meterlake.operators.checks import as_log, require_passed, union_all, write_check_log
 from meterlake.operators.enrich import BASE_YEAR
 from meterlake.operators.merge import upsert
+from meterlake.operators.reports import run_report
 from meterlake.plans import dims, quality
 from meterlake.sinks.snapshots import (
     create_snapshot_if_missing,
@@ -60,6 +66,15 @@ class LakeConfig:
 METER, WEATHER, BUILDING = "meter_readings", "weather_readings", "building_metadata"
 
 
+def _together(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Start steps that do not depend on each other at once, so small ones do not leave the
+    cluster idle; the first error is raised once all have ended."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
 def _record(spark: SparkSession, cfg: LakeConfig, layer: str, results: DataFrame) -> None:
     moment = cfg.ingested_at or dt.datetime.now(dt.UTC).replace(tzinfo=None)
     path = cfg.table(f"{layer}_quality_log")
@@ -70,28 +85,25 @@ def _record(spark: SparkSession, cfg: LakeConfig, layer: str, results: DataFrame
 
 def run_bronze(spark: SparkSession, cfg: LakeConfig) -> None:
     shared = {"run_id": cfg.run_id, "ingested_at": cfg.ingested_at, "max_files": cfg.max_files}
-    for feed in (METER, WEATHER):
-        bronze.ingest_csv(
+
+    def places(feed: str) -> list[str]:
+        return [cfg.landing(feed), cfg.table(f"bronze_{feed}"), cfg.store(feed), cfg.checkpoint(f"bronze_{feed}")]
+
+    def append_feed(feed: str) -> None:
+        bronze.ingest_csv(spark, *places(feed), schema=cfg.schemas.get(feed), **shared)
+
+    def version_buildings() -> None:
+        bronze.ingest_versions(
             spark,
-            cfg.landing(feed),
-            cfg.table(f"bronze_{feed}"),
-            cfg.store(feed),
-            cfg.checkpoint(f"bronze_{feed}"),
-            schema=cfg.schemas.get(feed),
+            *places(BUILDING),
+            as_of=cfg.as_of,
+            null_safe=cfg.null_safe,
+            on_duplicate=cfg.on_duplicate,
+            schema=cfg.schemas.get(BUILDING),
             **shared,
         )
-    bronze.ingest_versions(
-        spark,
-        cfg.landing(BUILDING),
-        cfg.table(f"bronze_{BUILDING}"),
-        cfg.store(BUILDING),
-        cfg.checkpoint(f"bronze_{BUILDING}"),
-        as_of=cfg.as_of,
-        null_safe=cfg.null_safe,
-        on_duplicate=cfg.on_duplicate,
-        schema=cfg.schemas.get(BUILDING),
-        **shared,
-    )
+
+    _together(spark, lambda: append_feed(METER), lambda: append_feed(WEATHER), version_buildings)
 
 
 def bronze_table(spark: SparkSession, cfg: LakeConfig, feed: str) -> DataFrame:
@@ -106,26 +118,31 @@ def check_bronze(spark: SparkSession, cfg: LakeConfig) -> None:
 
 
 def run_silver(spark: SparkSession, cfg: LakeConfig) -> None:
-    silver.silver_readings(
-        spark,
-        cfg.table(f"bronze_{METER}"),
-        cfg.store(METER),
-        cfg.table("silver_readings"),
-        cfg.checkpoint("silver_readings"),
-        cfg.strict,
-        cfg.spike_factor,
-        cfg.window_days,
-        cfg.max_table_files,
-    )
-    silver.silver_weather(
-        spark,
-        cfg.table(f"bronze_{WEATHER}"),
-        cfg.store(WEATHER),
-        cfg.table("silver_weather"),
-        cfg.checkpoint("silver_weather"),
-        cfg.strict,
-        max_files=cfg.max_table_files,
-    )
+    def readings() -> None:
+        silver.silver_readings(
+            spark,
+            cfg.table(f"bronze_{METER}"),
+            cfg.store(METER),
+            cfg.table("silver_readings"),
+            cfg.checkpoint("silver_readings"),
+            cfg.strict,
+            cfg.spike_factor,
+            cfg.window_days,
+            cfg.max_table_files,
+        )
+
+    def weather() -> None:
+        silver.silver_weather(
+            spark,
+            cfg.table(f"bronze_{WEATHER}"),
+            cfg.store(WEATHER),
+            cfg.table("silver_weather"),
+            cfg.checkpoint("silver_weather"),
+            cfg.strict,
+            max_files=cfg.max_table_files,
+        )
+
+    _together(spark, readings, weather)
     silver.silver_enriched(
         spark,
         cfg.table("silver_readings"),
@@ -154,18 +171,26 @@ def run_dimensions(spark: SparkSession, cfg: LakeConfig) -> None:
     weather = silver.stored_table(spark, cfg.table("silver_weather"))
     buildings = bronze_table(spark, cfg, BUILDING)
 
-    create_snapshot_if_missing(dims.dim_date(spark, cfg.first_day, cfg.last_day), cfg.table("dim_date"))
-    create_snapshot_if_missing(dims.dim_meter_type(spark), cfg.table("dim_meter_type"))
-    create_snapshot_if_missing(dims.dim_time_of_day(spark), cfg.table("dim_time_of_day"))
-    refresh(dims.dim_site(enriched), cfg.table("dim_site"))
-    refresh(dims.dim_building_use(buildings), cfg.table("dim_building_use"))
-    refresh(dims.dim_weather_condition(weather), cfg.table("dim_weather_condition"))
-
+    static = {
+        "dim_date": dims.dim_date(spark, cfg.first_day, cfg.last_day),
+        "dim_meter_type": dims.dim_meter_type(spark),
+        "dim_time_of_day": dims.dim_time_of_day(spark),
+    }
     path = cfg.table("dim_building")
     versions = dims.dim_building(buildings, cfg.base_year)
     if snapshot_exists(spark, path):
         versions = upsert(read_snapshot(spark, path), versions, ["building_key"])
-    refresh(versions, path)
+    replaced = {
+        "dim_site": dims.dim_site(enriched),
+        "dim_building_use": dims.dim_building_use(buildings),
+        "dim_weather_condition": dims.dim_weather_condition(weather),
+        "dim_building": versions,
+    }
+    _together(
+        spark,
+        *[partial(create_snapshot_if_missing, df, cfg.table(name)) for name, df in static.items()],
+        *[partial(refresh, df, cfg.table(name)) for name, df in replaced.items()],
+    )
 
 
 DIMENSIONS = [
@@ -219,3 +244,38 @@ def run_lakehouse(spark: SparkSession, cfg: LakeConfig) -> None:
     run_dimensions(spark, cfg)
     run_facts(spark, cfg)
     check_gold(spark, cfg)
+
+
+def lake_report(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+    """Rows of every table and its flagged rows, one scan each: ``table_name, metric, rows``."""
+    tables = {
+        f"bronze_{METER}": (bronze_table(spark, cfg, METER), {"rescued": "_rescued_data IS NOT NULL"}),
+        f"bronze_{WEATHER}": (bronze_table(spark, cfg, WEATHER), {"rescued": "_rescued_data IS NOT NULL"}),
+        f"bronze_{BUILDING}": (bronze_table(spark, cfg, BUILDING), {"current": "is_current"}),
+    }
+    flags = {
+        "silver_readings": {"zero_readings": "is_zero_reading", "spikes": "is_spike"},
+        "silver_weather": {"null_air_temperature": "air_temperature IS NULL"},
+        "silver_enriched_readings": {
+            "unknown_buildings": "is_building_unknown",
+            "null_energy_per_sqft": "energy_per_sqft IS NULL",
+            "spikes": "is_spike",
+        },
+        "fact_meter_readings": {
+            "null_building_key": "building_key IS NULL",
+            "null_date_key": "date_key IS NULL",
+            "zero_readings": "is_zero_reading",
+            "spikes": "is_spike",
+        },
+        "fact_daily_building_summary": {"null_building_date_key": "building_date_key IS NULL"},
+    }
+    for name, predicates in flags.items():
+        tables[name] = (silver.stored_table(spark, cfg.table(name)), predicates)
+    for name in DIMENSIONS:
+        tables[name] = (read_snapshot(spark, cfg.table(name)), {})
+    return union_all(
+        [
+            run_report(df, **predicates).select(F.lit(name).alias("table_name"), "metric", "rows")
+            for name, (df, predicates) in tables.items()
+        ]
+    )

@@ -455,6 +455,11 @@ def _(q: Layers):
     return preview.select("event_id", "building_id", "meter", "meter_reading", "reading_hour")
 
 
+@query("preview", sql("SELECT least(count(*), 5) AS rows FROM silver_readings"))
+def _(q: Layers):
+    return reports.preview(q.readings(), 5).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query(
     "mean_completeness",
     sql("SELECT round(avg(data_completeness_pct), 6) AS avg_data_completeness_pct FROM daily"),
@@ -816,11 +821,53 @@ def _(q: Layers):
     """All layers, with the readings in two runs: every building-day is met twice."""
     lake = _base_lake(q)
     for part in (F.col("meter") < 2, F.col("meter") >= 2):
-        _land_readings_and_run(q, q.raw("readings").filter(part), lake, parts=1)
+        write_landing(q.raw("readings").filter(part), lake.landing(METER), parts=1)
+        for step in (lakehouse.run_bronze, lakehouse.run_silver, lakehouse.run_dimensions, lakehouse.run_facts):
+            step(q.spark, lake)
     rows = stored_table(q.spark, lake.table("fact_daily_building_summary"))
     return rows.withColumn("avg_temperature", F.round("avg_temperature", 6))
 
 
+@query(
+    "lake_report",
+    sql(
+        "\nUNION ALL\n".join(
+            f"SELECT '{table}' AS table_name, '{metric}' AS metric, count(*) FILTER ({rule}) AS rows FROM {source}"
+            for table, source, rules in (
+                ("bronze_meter_readings", "readings", {"total": "TRUE", "rescued": "FALSE"}),
+                ("bronze_weather_readings", "weather", {"total": "TRUE", "rescued": "FALSE"}),
+                ("bronze_building_metadata", "versions", {"total": "TRUE", "current": "is_current"}),
+                ("silver_readings", "spikes",
+                 {"total": "TRUE", "zero_readings": "is_zero_reading", "spikes": "is_spike"}),
+                ("silver_weather", "clean_weather",
+                 {"total": "TRUE", "null_air_temperature": "air_temperature IS NULL"}),
+                ("silver_enriched_readings", "enriched",
+                 {"total": "TRUE", "unknown_buildings": "is_building_unknown",
+                  "null_energy_per_sqft": "energy_per_sqft IS NULL", "spikes": "is_spike"}),
+                ("fact_meter_readings", "fact",
+                 {"total": "TRUE", "null_building_key": "building_key IS NULL",
+                  "null_date_key": "date_key IS NULL", "zero_readings": "is_zero_reading",
+                  "spikes": "is_spike"}),
+                ("fact_daily_building_summary", "daily",
+                 {"total": "TRUE", "null_building_date_key": "building_date_key IS NULL"}),
+                ("dim_date", "dim_date", {"total": "TRUE"}),
+                ("dim_meter_type", "dim_meter", {"total": "TRUE"}),
+                ("dim_time_of_day", "dim_time", {"total": "TRUE"}),
+                ("dim_site", "dim_site", {"total": "TRUE"}),
+                ("dim_building_use", "(SELECT DISTINCT primary_use FROM versions) AS uses", {"total": "TRUE"}),
+                ("dim_building", "dim_building", {"total": "TRUE"}),
+                ("dim_weather_condition", "clean_weather", {"total": "TRUE"}),
+            )
+            for metric, rule in rules.items()
+        )
+    ),
+)
+def _(q: Layers):
+    lake = _base_lake(q)
+    _land_readings_and_run(q, q.raw("readings"), lake, parts=2)
+    return lakehouse.lake_report(q.spark, lake)
+
+
 # After the second load, dates rebuilt in that run carry the new building versions.
 @query(
     "lakehouse_end_to_end",
