@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 SCALE = 2
 PRECISION = 28
+# Means are taken of measured values, which carry far fewer than ten decimals.
+MEAN_SCALE = 10
 
 
 def is_finite(value: Column) -> Column:
@@ -31,6 +33,12 @@ def exact_sum(value: Column, scale: int = SCALE) -> Column:
     return F.coalesce(finite + special, special, finite)
 
 
+def exact_mean(value: Column, scale: int = MEAN_SCALE) -> Column:
+    """``avg`` of a double column as an order-independent aggregate."""
+    known = F.count(value)
+    return F.when(known > 0, exact_sum(value, scale) / known)
+
+
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
     """Rounded quotient where the denominator is positive, null elsewhere."""
     return F.when(denominator > 0, F.round(numerator / denominator, digits))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.keys import surrogate_key
 from meterlake.functions.labels import METER_TYPES
-from meterlake.functions.numeric import count_where, exact_sum, ratio
+from meterlake.functions.numeric import count_where, exact_mean, exact_sum, ratio
 from meterlake.operators.enrich import current_versions
 
 # Columns of the hourly fact.
@@ -94,7 +94,7 @@ def fact_daily_summary(fact: DataFrame, buildings: DataFrame) -> DataFrame:
     ]
     daily = fact.groupBy("date_key", "building_key", "site_key", "reading_date").agg(
         *totals,
-        F.avg("air_temperature").alias("avg_temperature"),
+        exact_mean(F.col("air_temperature")).alias("avg_temperature"),
         _distinct_hours("time_of_day_key").alias("hours_with_data"),
         count_where("is_zero_reading").alias("zero_reading_hours"),
         count_where("is_spike").alias("spike_count"),

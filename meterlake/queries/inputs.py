@@ -76,8 +76,7 @@ class Layers:
 
     def daily(self, fact: DataFrame | None = None) -> DataFrame:
         rows = self.fact() if fact is None else fact
-        summary = fact_daily_summary(rows, dims.dim_building(self.versions()))
-        return summary.withColumn("avg_temperature", F.round("avg_temperature", 6))
+        return fact_daily_summary(rows, dims.dim_building(self.versions()))
 
 
 def portable(df: DataFrame) -> DataFrame:

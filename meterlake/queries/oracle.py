@@ -159,7 +159,8 @@ FROM (SELECT *, total_electricity_kwh + total_chilled_water + total_steam + tota
                         AS DOUBLE) AS total_steam,
                    CAST(sum(CASE WHEN meter_type_key = 3 THEN CAST(meter_reading AS {_DEC}) ELSE 0 END)
                         AS DOUBLE) AS total_hot_water,
-                   round(avg(air_temperature), 6) AS avg_temperature,
+                   CAST(sum(CAST(air_temperature AS DECIMAL(28,10))) AS DOUBLE)
+                       / count(air_temperature) AS avg_temperature,
                    count(DISTINCT time_of_day_key) AS hours_with_data,
                    count(*) FILTER (is_zero_reading) AS zero_reading_hours,
                    count(*) FILTER (is_spike) AS spike_count

@@ -824,8 +824,7 @@ def _(q: Layers):
         write_landing(q.raw("readings").filter(part), lake.landing(METER), parts=1)
         for step in (lakehouse.run_bronze, lakehouse.run_silver, lakehouse.run_dimensions, lakehouse.run_facts):
             step(q.spark, lake)
-    rows = stored_table(q.spark, lake.table("fact_daily_building_summary"))
-    return rows.withColumn("avg_temperature", F.round("avg_temperature", 6))
+    return stored_table(q.spark, lake.table("fact_daily_building_summary"))
 
 
 @query(

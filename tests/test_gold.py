@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterlake.functions.keys import surrogate_key
-from meterlake.functions.numeric import exact_sum
+from meterlake.functions.numeric import exact_mean, exact_sum
 from meterlake.operators.checks import orphans
 from meterlake.operators.enrich import enrich_readings
 from meterlake.operators.ranking import rank_values
@@ -118,4 +118,6 @@ def test_exact_sum_does_not_depend_on_order(spark):
     for part in (1, 4):
         df = spark.createDataFrame(rows, "k int, v double").repartition(part)
         got = {r.k: r.s for r in df.groupBy("k").agg(exact_sum(F.col("v")).alias("s")).collect()}
+        means = {r.k: r.m for r in df.groupBy("k").agg(exact_mean(F.col("v")).alias("m")).collect()}
+        assert means[0] == 0.6 / 3 and means[1] is None and means[2] == float("inf") and means[3] != means[3]
         assert got[0] == 0.6 and got[1] is None and got[2] == float("inf") and got[3] != got[3]
