@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.functions.calendar import is_weekend
-from meterlake.functions.labels import site_name
 from meterlake.operators import checks, merge, reports
 from meterlake.operators.audit import add_audit_columns
 from meterlake.operators.dedupe import latest_by
@@ -29,10 +28,10 @@ from meterlake.session import materialize, scratch_dir
 from meterlake.sinks.snapshots import create_snapshot_if_missing, read_snapshot, refresh
 from meterlake.sinks.tables import append, create_if_missing, overwrite_partitions, read_table
 from meterlake.sources.schemas import infer_or_load_schema
+from meterlake.sources.streams import csv_stream
 from meterlake.streaming import bronze
 from meterlake.streaming.runners import stream_append
-from meterlake.sources.streams import csv_stream
-from meterlake.streaming.silver import stored_table
+from meterlake.streaming.silver import silver_readings, silver_weather, stored_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -259,7 +258,6 @@ def _(q: Layers):
 
 _BUILDING_OUT = """SELECT * REPLACE (CAST(effective_from AS VARCHAR) AS effective_from,
                                      CAST(effective_to AS VARCHAR) AS effective_to) FROM dim_building"""
-_HISTORY = oracle.scd2_sql("first_load", "changes", oracle.SECOND_LOAD)
 
 
 def _history_sql(final: str, null_safe: bool = False) -> str:
@@ -745,8 +743,6 @@ def _base_lake(q: Layers, **settings) -> lakehouse.LakeConfig:
 @query("stream_readings", sql(f"SELECT {_READING}, is_spike, rolling_avg_7d, {_DERIVED} FROM spikes"))
 def _(q: Layers):
     """Readings arrive in two runs of several batches each, in no order."""
-    from meterlake.streaming.silver import silver_readings
-
     lake = new_lake(q.spark)
     for part in (F.col("meter") < 2, F.col("meter") >= 2):
         write_landing(q.raw("readings").filter(part), lake.landing(METER), parts=2)
@@ -768,8 +764,6 @@ def _(q: Layers):
 
 @query("stream_weather", sql(f"SELECT {_WEATHER}, temp_category FROM clean_weather"))
 def _(q: Layers):
-    from meterlake.streaming.silver import silver_weather
-
     lake = new_lake(q.spark)
     for part in (is_weekend(F.col("timestamp")), ~is_weekend(F.col("timestamp"))):
         write_landing(q.raw("weather").filter(part), lake.landing(WEATHER), parts=1)

@@ -11,7 +11,6 @@ from meterlake.plans import dims
 from meterlake.plans.quality import bronze_checks, gold_checks, silver_checks
 
 DAY = dt.date(2024, 1, 1)
-VACUOUS = set()
 
 
 def clean(spark):
