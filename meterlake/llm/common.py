@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,20 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this library to the executors, once a context, for those who don't have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_meterlake_shipped", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="meterlake-")) / "meterlake.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(path))
+    context._meterlake_shipped = True
+
+
 class Scratch:
     """Tables written during one run of an operator, under ``spark.checkpoint.dir``.
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import chat, quality
+from meterlake.llm import chat, packing, quality, tokens
 from meterlake.llm.common import documents, let
 from meterlake.session import configure
 
@@ -62,7 +63,25 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and whether they are more than a context holds."""
+    configure(spark)
+    counts = tokens.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 4096 ids."""
+    configure(spark)
+    packed = packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_quality_rules": op3_quality_rules,
+    "op9_token_counts": op9_token_counts,
+    "op10_packing": op10_packing,
 }
