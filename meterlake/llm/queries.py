@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import chat, packing, quality, tokens
+from meterlake.llm import bpe, chat, packing, quality, tokens
 from meterlake.llm.common import documents, let
 from meterlake.session import configure
 
@@ -63,6 +63,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, and decoded again from the ids."""
+    configure(spark)
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    return bpe.with_digests(bpe.decode(encoded, ranks))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they are more than a context holds."""
     configure(spark)
@@ -82,6 +90,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_quality_rules": op3_quality_rules,
+    "op5_byte_bpe": op5_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
 }
