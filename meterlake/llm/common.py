@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,20 @@ def ship(spark: SparkSession) -> None:
     context._meterlake_shipped = True
 
 
+def small_batches(
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 2 << 20
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``limit`` bytes of ``column``, or of one row."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)))
+        first = 0
+        while first < batch.num_rows:
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 class Scratch:
     """Tables written during one run of an operator, under ``spark.checkpoint.dir``.
 

@@ -11,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import ship
+from meterlake.llm.common import ship, small_batches
 
-CACHE_WORDS, CACHE_CHARS = 1_000_000, 64
+CACHE_WORDS, CACHE_CHARS = 400_000, 64
 
 
 @lru_cache(maxsize=2)
@@ -153,7 +153,7 @@ def pack(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
         width, close = encoder.dtype.itemsize, np.array([end_id], encoder.dtype).tobytes()
-        for batch in batches:
+        for batch in small_batches(batches):
             row, start, length, total, ids = [], [], [], [], []
             for i, found in enumerate(encoder.encode(batch.column("text").to_pylist())):
                 found += close
