@@ -8,11 +8,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, chat, packing, quality, tokens
+from meterlake.llm import bpe, chat, packing, quality, suffixes, tokens
 from meterlake.llm.common import documents, let
 from meterlake.session import configure
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in a 50-byte string of an earlier one."""
+    configure(spark)
+    found = suffixes.repeated_spans(documents(spark, sf_dir))
+    removed = F.aggregate(
+        "removed", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"]
+    )
+    return found.select(
+        "doc_id",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2(suffixes.kept_text(F.col("text"), F.col("removed")), 256).alias("kept_sha256"),
+    )
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and one made of control strings, formatted and read back."""
     configure(spark)
@@ -88,6 +104,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_quality_rules": op3_quality_rules,
     "op5_byte_bpe": op5_byte_bpe,
