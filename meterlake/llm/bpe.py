@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -11,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.common import ship
+from meterlake.llm.common import ship, small_batches
 
 
 @lru_cache(maxsize=2)
@@ -27,11 +29,41 @@ def _encoding(path: str, pattern: str):
     return tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=_ranks(path), special_tokens={})
 
 
+def _below_256(kind: str) -> str:
+    """The characters under 256 of a Unicode class, as the inside of a bracket."""
+    white = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0]
+    places = white if kind == "s" else [i for i in range(256) if unicodedata.category(chr(i))[0] == kind]
+    return "".join(f"\\x{i:02x}" for i in places)
+
+
 @lru_cache(maxsize=2)
 def _splitter(pattern: str):
+    """Finds the matches of ``pattern`` in a text.
+
+    Texts whose characters are all under 256 go through the built-in engine, with the Unicode
+    classes written out, which is twice as fast; the matches are the same.
+    """
     import regex
 
-    return regex.compile(pattern)
+    def written_out(m: re.Match) -> str:
+        part = m.group()
+        if part.startswith("["):
+            return re.sub(r"\\p\{([LN])\}|\\(s)", lambda x: _below_256(x[1] or x[2]), part)
+        if part == r"\S":
+            return f"[^{_below_256('s')}]"
+        return f"[{_below_256(part[3] if part.startswith(r'\p') else 's')}]"
+
+    narrow = re.compile(re.sub(r"\[\^?[^\]]*\]|\\p\{[LN]\}|\\[sS]", written_out, pattern))
+    wide = regex.compile(pattern)
+
+    def find(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return wide.findall(text)
+        return narrow.findall(text)
+
+    return find
 
 
 @lru_cache(maxsize=2)
@@ -48,23 +80,46 @@ def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(parts), np.uint8), begin, length
 
 
-def _numbered(texts: list[str], pattern: str, group_chars: int) -> Iterator[tuple[list[int], dict, list]]:
-    """Runs of texts of about ``group_chars`` in all: their rows, distinct words, and each text's
-    pre-tokens as numbers of words. The cut depends on nothing but the texts."""
-    find = _splitter(pattern).findall
-    rows, words, numbers, size = [], {}, [], 0
-    for row, text in enumerate(texts):
-        if rows and size + len(text) > group_chars:
-            yield rows, words, numbers
-            rows, words, numbers, size = [], {}, [], 0
-        found = find(text)
-        for word in set(found).difference(words):
-            words[word] = len(words)
-        rows.append(row)
-        numbers.append(np.fromiter(map(words.__getitem__, found), np.uint32, len(found)))
+class _Numbers(dict):
+    """Words by the order in which they first come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _cut(batch: pa.RecordBatch, group_chars: int) -> Iterator[tuple[int, list, list[str]]]:
+    """Runs of texts of about ``group_chars`` in all, with ids, under a hash of the rows. The cut
+    depends on the rows alone, so a task that runs again gives the same names."""
+    from xxhash import xxh3_64
+
+    def closed():
+        name = xxh3_64(repr(ids))
+        for text in texts:
+            name.update(f"{len(text)} ")
+            name.update(text)
+        return name.intdigest() - (1 << 63), ids, texts
+
+    ids, texts, size = [], [], 0
+    for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+        text = text.as_py()
+        if texts and size + len(text) > group_chars:
+            yield closed()
+            ids, texts, size = [], [], 0
+        ids.append(doc.as_py())
+        texts.append(text)
         size += len(text)
-    if rows:
-        yield rows, words, numbers
+    if texts:
+        yield closed()
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit integers as four rows of bytes; the rows of high bytes compress to almost nothing."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _values(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def encode(
@@ -73,7 +128,7 @@ def encode(
     pattern: str,
     doc_id: str = "doc_id",
     text: str = "text",
-    group_chars: int = 8 << 20,
+    group_chars: int = 16 << 20,
 ) -> DataFrame:
     """``doc_id, n_tokens, ids``; ids as unsigned 32-bit little-endian integers.
 
@@ -81,7 +136,7 @@ def encode(
     distinct words and, for each position, the number of its word, which is the exploded table
     of (document, position, word) in columnar form. The words of all groups are shuffled
     together, each distinct one is encoded once, and its ids go back to the groups it came
-    from, where positions are put together again. So what is shuffled by word is one row for a
+    from, packed to one row a group and task, where positions are put together again. So what is shuffled by word is one row for a
     word and group, however often the word occurs: no word is hot.
 
     The input is read twice and has to come in the same order, as from files; where it does not,
@@ -95,80 +150,109 @@ def encode(
     ship(docs.sparkSession)
     clean = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     id_type = clean.schema["doc_id"].dataType.simpleString()
-    id_arrow = pa.schema([("doc_id", _arrow_type(clean))]).field("doc_id").type
-
-    def groups(batches: Iterator[pa.RecordBatch]):
-        """Each group under a hash of its rows, so a task that runs again gives the same names."""
-        from xxhash import xxh3_64
-
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for rows, found, numbers in _numbered(texts, pattern, group_chars):
-                ids = batch.column("doc_id").take(pa.array(rows, pa.int64())).to_pylist()
-                name = xxh3_64(repr(ids))
-                for row in rows:
-                    name.update(f"{len(texts[row])} {texts[row]}")
-                yield name.intdigest() - (1 << 63), ids, found, numbers
+    id_arrow = _arrow_type(clean)
+    kind = np.dtype("<u2" if max(_ranks(ranks_path).values()) < 1 << 16 else "<u4")
+    width = kind.itemsize
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, _, found, _ in groups(batches):
-            n = len(found)
-            yield pa.record_batch(
-                [
-                    pa.array(found.keys(), pa.string()),
-                    pa.array(np.full(n, group, np.int64)),
-                    pa.array(np.arange(n, dtype=np.int32)),
-                ],
-                names=["word", "group", "number"],
-            )
+        find = _splitter(pattern)
+        for batch in batches:
+            for group, _, texts in _cut(batch, group_chars):
+                found: dict[str, None] = {}
+                for text in texts:
+                    found.update(dict.fromkeys(find(text)))
+                yield pa.record_batch(
+                    [
+                        pa.array(list(found), pa.string()),
+                        pa.array(np.full(len(found), group, np.int64)),
+                        pa.array(np.arange(len(found), dtype=np.int32)),
+                    ],
+                    names=["word", "group", "number"],
+                )
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for group, ids, found, numbers in groups(batches):
-            lengths = [len(x) for x in numbers]
-            # Byte planes: the high bytes of word numbers are mostly alike.
-            planes = np.concatenate(numbers).view(np.uint8).reshape(-1, 4).T.tobytes()
-            yield pa.record_batch(
-                [
-                    pa.array([group], pa.int64()),
-                    pa.array([len(found)], pa.int64()),
-                    pa.array([ids], pa.list_(id_arrow)),
-                    pa.array([lengths], pa.list_(pa.int64())),
-                    pa.array([pack(planes)], pa.binary()),
-                ],
-                names=["group", "n_words", "doc_ids", "lengths", "numbers"],
-            )
+        find, pack = _splitter(pattern), zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            for group, ids, texts in _cut(batch, group_chars):
+                words, numbers = _Numbers(), []
+                for text in texts:
+                    found = find(text)
+                    numbers.append(np.fromiter(map(words.__getitem__, found), np.uint32, len(found)))
+                yield pa.record_batch(
+                    [
+                        pa.array([group], pa.int64()),
+                        pa.array([len(words)], pa.int64()),
+                        pa.array([ids], pa.list_(id_arrow)),
+                        pa.array([[len(x) for x in numbers]], pa.list_(pa.int64())),
+                        pa.array([pack(_planes(np.concatenate(numbers)))], pa.binary()),
+                    ],
+                    names=["group", "n_words", "doc_ids", "lengths", "numbers"],
+                )
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = _encoding(ranks_path, pattern)._core_bpe.encode_single_piece
+        pack = zstandard.ZstdCompressor(level=1).compress
         last, ids = None, b""
+        group, number, found = [], [], []
+
+        def packed() -> pa.RecordBatch:
+            """One row a group: numbers of its words, how many ids each has, and the ids."""
+            groups, numbers = np.concatenate(group), np.concatenate(number)
+            order = np.lexsort((numbers, groups))
+            lengths = np.array([len(x) // width for x in found])[order]
+            cuts = np.flatnonzero(np.diff(groups[order])) + 1
+            names, blobs = [], []
+            for part in np.split(np.arange(len(order)), cuts):
+                rows = order[part]
+                names.append(groups[rows[0]])
+                blobs.append(
+                    [
+                        pack(_planes(np.diff(numbers[rows], prepend=0))),
+                        pack(_planes(lengths[part])),
+                        pack(b"".join([found[i] for i in rows.tolist()])),
+                    ]
+                )
+            return pa.record_batch(
+                [pa.array(names, pa.int64()), *(pa.array(x, pa.binary()) for x in zip(*blobs, strict=True))],
+                names=["group", "numbers", "counts", "ids"],
+            )
+
         for batch in batches:
-            out = []
+            group.append(np.asarray(batch.column("group")))
+            number.append(np.asarray(batch.column("number")))
             for word in batch.column("word").to_pylist():
                 if word != last:
-                    last, ids = word, np.array(once(word.encode()), "<u4").tobytes()
-                out.append(ids)
-            yield pa.record_batch(
-                [batch.column("group"), batch.column("number"), pa.array(out, pa.binary())],
-                names=["group", "number", "ids"],
-            )
+                    last, ids = word, np.array(once(word.encode()), kind).tobytes()
+                found.append(ids)
+            if len(found) > 200_000:
+                yield packed()
+                group, number, found = [], [], []
+        if found:
+            yield packed()
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         """One group: the ids of its words, and its positions."""
-        table = dict(zip(right["number"].to_pylist(), right["ids"].to_pylist(), strict=True))
+        unpack = zstandard.ZstdDecompressor().decompress
+        table: dict[int, bytes] = {}
+        for numbers, counts, ids in zip(
+            *(right[c].to_pylist() for c in ("numbers", "counts", "ids")), strict=True
+        ):
+            ids, at = unpack(ids), 0
+            numbers, counts = np.cumsum(_values(unpack(numbers))), _values(unpack(counts))
+            for word, n in zip(numbers.tolist(), (counts * width).tolist(), strict=True):
+                table[word] = ids[at : at + n]
+                at += n
         if any(n != len(table) for n in left["n_words"].to_pylist()):
             raise ValueError("the input came in another order when it was read again")
         doc_ids, out = [], []
-        unpack = zstandard.ZstdDecompressor().decompress
         for ids, lengths, packed in zip(
             left["doc_ids"].to_pylist(), left["lengths"].to_pylist(), left["numbers"].to_pylist(), strict=True
         ):
-            planes = np.frombuffer(unpack(packed), np.uint8).reshape(4, -1)
-            numbers = np.ascontiguousarray(planes.T).view(np.uint32).ravel()
-            at = 0
+            numbers, at = _values(unpack(packed)), 0
             for doc, n in zip(ids, lengths, strict=True):
+                found = b"".join(map(table.__getitem__, numbers[at : at + n].tolist()))
                 doc_ids.append(doc)
-                out.append(b"".join(map(table.__getitem__, numbers[at : at + n].tolist())))
+                out.append(np.frombuffer(found, kind).astype("<u4").tobytes())
                 at += n
         return pa.table(
             {
@@ -180,7 +264,7 @@ def encode(
 
     spelled = clean.mapInArrow(words, "word string, group long, number int")
     by_word = spelled.repartition("word").sortWithinPartitions("word")
-    word_ids = by_word.mapInArrow(encode_words, "group long, number int, ids binary")
+    word_ids = by_word.mapInArrow(encode_words, "group long, numbers binary, counts binary, ids binary")
     placed = clean.mapInArrow(
         positions, f"group long, n_words long, doc_ids array<{id_type}>, lengths array<long>, numbers binary"
     )
@@ -208,7 +292,7 @@ def decode(encoded: DataFrame, ranks_path: str, doc_id: str = "doc_id", ids: str
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, begin, length = _token_bytes(ranks_path)
-        for batch in batches:
+        for batch in small_batches(batches, "ids", 8 << 20):
             decoded = []
             for one in batch.column("ids").to_pylist():
                 tokens = np.frombuffer(one or b"", "<u4")
@@ -236,13 +320,17 @@ def with_digests(decoded: DataFrame) -> DataFrame:
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
 
-        for batch in batches:
+        written: list[str] = []
+        for batch in small_batches(batches, "decoded", 8 << 20):
             ids = [np.frombuffer(x or b"", "<u4") for x in batch.column("ids").to_pylist()]
+            most = max((int(x.max()) for x in ids if len(x)), default=-1)
+            written.extend(map(str, range(len(written), most + 1)))
+            text = [" ".join(map(written.__getitem__, x.tolist())) for x in ids]
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
                     pa.array(map(len, ids), pa.int64()),
-                    pa.array([sha256(" ".join(map(str, x.tolist())).encode()).hexdigest() for x in ids]),
+                    pa.array([sha256(x.encode()).hexdigest() for x in text]),
                     pa.array([sha256(x or b"").hexdigest() for x in batch.column("decoded").to_pylist()]),
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
