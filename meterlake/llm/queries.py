@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, chat, packing, quality, suffixes, tokens
+from meterlake.llm import bpe, chat, neardup, packing, quality, suffixes, tokens
 from meterlake.llm.common import documents, let
 from meterlake.session import configure
 
@@ -79,6 +79,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document, and whether it is the one that stays."""
+    configure(spark)
+    found = neardup.near_duplicates(documents(spark, sf_dir))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded again from the ids."""
     configure(spark)
@@ -107,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_quality_rules": op3_quality_rules,
+    "op4_minhash_neardup": op4_minhash_neardup,
     "op5_byte_bpe": op5_byte_bpe,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
