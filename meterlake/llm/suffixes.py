@@ -82,70 +82,93 @@ def repeated_spans(
     )
     # The one shuffle of texts; the three uses below read it again.
     placed = clean.repartition("doc_id")
-    tag = F.xxhash64("text").alias("tag")
-
-    hashed = clean.where(F.col("doc_id").isNotNull()).select(
-        "doc_id", tag, F.unhex(F.sha2("text", 256)).alias("digest")
+    known = clean.where(F.col("doc_id").isNotNull()).select(
+        "doc_id", F.xxhash64("text").alias("tag"), F.unhex(F.sha2("text", 256)).alias("digest")
+    )
+    # Ids that several different texts carry, as a rule none: these texts need a tag.
+    shared_ids = (
+        known.groupBy("doc_id")
+        .agg((F.min("tag") != F.max("tag")).alias("several"))
+        .where("several")
+        .select(F.col("doc_id").alias("shared_id"))
     )
-    least = hashed.groupBy("digest").agg(F.min("doc_id").alias("least"))
+    least = known.groupBy("digest").agg(F.min("doc_id").alias("least"))
     copies = (
-        hashed.join(least, "digest")
+        known.join(least, "digest")
         .where(F.col("doc_id") > F.col("least"))
         .select(F.col("doc_id").alias("copy_id"), F.col("tag").alias("copy_tag"))
         .distinct()
     )
 
+    def tagged(df: DataFrame) -> DataFrame:
+        tag = F.when(F.col("shared_id").isNotNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+        joined = df.join(shared_ids, F.col("doc_id") == F.col("shared_id"), "left")
+        return joined.withColumn("tag", tag).drop("shared_id")
+
     def same(left: str, right: str) -> Column:
         # Not an equality, so that the join keeps to the shuffle by id alone.
         return F.col(left).bitwiseXOR(F.col(right)) == 0
 
     singles = (
         placed.where(F.col("doc_id").isNotNull())
-        .withColumn("tag", tag)
-        .join(copies, (F.col("doc_id") == F.col("copy_id")) & same("tag", "copy_tag"), "left_anti")
+        .withColumn("own_tag", F.xxhash64("text"))
+        .join(copies, (F.col("doc_id") == F.col("copy_id")) & same("own_tag", "copy_tag"), "left_anti")
         .select("doc_id", "text")
     )
 
+    def sampled(batch: pa.RecordBatch):
+        data, begins, lengths = flat(batch.column("text"))
+        row, key, first, n = sampled_suffixes(data, begins, lengths, size, gram)
+        return data, begins, row, key, first, n
+
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, limit=1 << 20):
-            data, begins, lengths = flat(batch.column("text"))
-            row, key, first, n = sampled_suffixes(data, begins, lengths, size, gram)
+            _, _, row, key, _, _ = sampled(batch)
             ids = np.asarray(batch.column("doc_id"))
-            yield pa.record_batch(
-                [pa.array(ids[row]), pa.array(key), pa.array((first - begins[row]) << 8 | n)],
-                names=["doc_id", "key", "place"],
-            )
+            yield pa.record_batch([pa.array(ids[row]), pa.array(key)], names=["doc_id", "key"])
 
     bucket = Window.partitionBy("key")
     shared = (
-        singles.mapInArrow(sample, "doc_id long, key long, place long")
+        singles.mapInArrow(sample, "doc_id long, key long")
         .withColumns({"low": F.min("doc_id").over(bucket), "high": F.max("doc_id").over(bucket)})
         .where("low < high")
-        .select("doc_id", "key", "place")
+        .select("doc_id", "key")
     )
-    by_doc = shared.groupBy("doc_id").agg(F.collect_list(F.struct("key", "place")).alias("places"))
-
-    def pieces(text_bytes: Column) -> Column:
-        return F.transform(
-            "places",
-            lambda p: F.struct(
-                p["key"].alias("key"),
-                F.shiftright(p["place"], 8).alias("begin"),
-                F.substr(
-                    text_bytes,
-                    (F.shiftright(p["place"], 8) + 1).cast("int"),
-                    (p["place"].bitwiseAND(F.lit(255)) + (size - 1)).cast("int"),
-                ).alias("piece"),
-            ),
-        )
+    by_doc = shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The same suffixes again, which is cheaper than to carry their places through the sort.
+        for batch in small_batches(batches, limit=1 << 20):
+            data, begins, row, key, first, n = sampled(batch)
+            # Who has a shared key is in its bucket, so the keys of a batch can be looked up together.
+            found = np.isin(key, np.asarray(batch.column("keys").flatten()))
+            row, key, first, n = row[found], key[found], first[found], n[found]
+            lengths = n + size - 1
+            ends = np.cumsum(lengths)
+            source = np.repeat(first - (ends - lengths), lengths) + np.arange(lengths.sum())
+            offsets = np.concatenate(([0], ends)).astype(np.int32)
+            pieces = pa.BinaryArray.from_buffers(
+                pa.binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(data[source])]
+            )
+            at = pa.array(row)
+            yield pa.record_batch(
+                [
+                    batch.column("doc_id").take(at),
+                    batch.column("tag").take(at),
+                    pa.array(key),
+                    pa.array(first - begins[row]),
+                    pieces,
+                ],
+                names=["doc_id", "tag", "key", "begin", "piece"],
+            )
 
-    cut = (
-        placed.join(by_doc, "doc_id")
-        .select("doc_id", tag, let(F.col("text").cast("binary"), pieces).alias("pieces"))
-        .select("doc_id", "tag", F.inline("pieces"))
+    pieces = (
+        tagged(placed.join(by_doc, "doc_id"))
+        .select("doc_id", "tag", "text", "keys")
+        .mapInArrow(cut, "doc_id long, tag long, key long, begin long, piece binary")
     )
     ordered = (
-        cut.repartition("key")
+        pieces.repartition("key")
         .withColumn("least", F.min("doc_id").over(Window.partitionBy("key", "piece")))
         .sortWithinPartitions("key")
     )
@@ -187,9 +210,10 @@ def repeated_spans(
     none = F.array().cast("array<struct<begin: bigint, end: bigint>>")
     everything = F.array(F.struct(F.lit(0).cast("long").alias("begin"), n_bytes.alias("end")))
     return (
-        placed.withColumn("tag", tag)
+        tagged(placed)
+        .withColumn("own_tag", F.xxhash64("text"))
         .join(spans, (F.col("doc_id") == F.col("span_id")) & same("tag", "span_tag"), "left")
-        .join(copies, (F.col("doc_id") == F.col("copy_id")) & same("tag", "copy_tag"), "left")
+        .join(copies, (F.col("doc_id") == F.col("copy_id")) & same("own_tag", "copy_tag"), "left")
         .select(
             "doc_id",
             "text",
