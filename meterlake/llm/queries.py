@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, chat, neardup, packing, quality, suffixes, tokens
+from meterlake.llm import bpe, chat, nearest, neardup, packing, quality, suffixes, tokens
 from meterlake.llm.common import documents, let
 from meterlake.session import configure
 
@@ -94,6 +94,13 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_digests(bpe.decode(encoded, ranks))
 
 
+def op8_hilbert_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20."""
+    configure(spark)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.nearest(vectors, vectors.where("vec_id % 20 = 0").select("vec_id"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they are more than a context holds."""
     configure(spark)
@@ -116,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_minhash_neardup": op4_minhash_neardup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op8_hilbert_nearest": op8_hilbert_nearest,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
 }
