@@ -34,16 +34,16 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(others)) for b in range(256)]
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """Ids of whole texts, each word encoded once while it is remembered.
 
     The tokenizer drops white space and no token spans it, so a text's ids are those of its
     words in a row. Words are cut at the four ASCII white spaces only; whatever else lies
     inside a word is the tokenizer's own business. Words of plain western letters, digits and
     marks are cut and written as the tokenizer's rules say, and only their merges are asked
-    for, which is three times as fast. Two generations of at most ``CACHE_WORDS`` words are
-    remembered, none over ``CACHE_CHARS`` characters: a word not seen during one generation is
-    forgotten.
+    for, which is three times as fast. The dictionary itself maps words to ids. Two generations
+    of about ``CACHE_WORDS`` words are remembered, none over ``CACHE_CHARS`` characters: a word
+    not seen during one generation is forgotten.
     """
 
     PLAIN = re.compile(r"[!-&(-~À-ÿ]+")  # no apostrophe, which opens contractions
@@ -52,49 +52,36 @@ class WordEncoder:
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.letters = _byte_letters()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self._words(t) for t in texts]
-        wanted = set().union(*split) if split else set()
-        if len(self.young) + len(wanted) > CACHE_WORDS:
-            self.old, self.young = self.young, {}
-        missing = wanted - self.young.keys()
-        again = missing & self.old.keys()
-        self.young.update((w, self.old[w]) for w in again)
-        hard = []
-        for word in missing - again:
-            if self.PLAIN.fullmatch(word) and "<|" not in word:
-                self.young[word] = self._plain(word)
-            else:
-                hard.append(word)
-        for first in range(0, len(hard), 10_000):
-            some = hard[first : first + 10_000]
-            found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            self.young.update(
-                zip(some, (np.array(e.ids, self.dtype).tobytes() for e in found), strict=True)
-            )
-        out = [b"".join(map(self.young.__getitem__, words)) for words in split]
-        for word in [w for w in missing if len(w) > CACHE_CHARS]:
-            del self.young[word]
-        return out
-
-    def _plain(self, word: str) -> bytes:
-        found = []
-        for part in self.PARTS.findall(word.lower()):
-            ids = self.young.get(part) or self.old.get(part)
-            if ids is None:
-                letters = part
-                if not part.isascii():
-                    letters = "".join([self.letters[b] for b in part.encode()])
-                tokens = self.tokenizer.model.tokenize(letters)
-                ids = array(self.dtype.char, [t.id for t in tokens]).tobytes()
-                if len(part) <= CACHE_CHARS:
-                    self.young[part] = ids
-            found.append(ids)
-        return b"".join(found)
+        if len(self) > CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        return [b"".join(map(self.__getitem__, self._words(t))) for t in texts]
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._ids(word)
+        if len(word) <= CACHE_CHARS:
+            self[word] = ids
+        return ids
+
+    def _ids(self, word: str) -> bytes:
+        if not self.PLAIN.fullmatch(word) or "<|" in word:
+            found = self.tokenizer.encode(word, add_special_tokens=False).ids
+            return array(self.dtype.char, found).tobytes()
+        parts = self.PARTS.findall(word.lower())
+        if len(parts) > 1:
+            return b"".join(map(self.__getitem__, parts))
+        letters = parts[0]
+        if letters != word:
+            return self[letters]
+        if not letters.isascii():
+            letters = "".join([self.letters[b] for b in letters.encode()])
+        return array(self.dtype.char, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     @staticmethod
     def _words(text: str) -> list[str]:
