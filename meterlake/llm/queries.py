@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, chat, nearest, neardup, packing, quality, suffixes, tokens
+from meterlake.llm import bpe, chat, language, neardup, nearest, packing, quality, suffixes, tokens
 from meterlake.llm.common import documents, let
 from meterlake.session import configure
 
@@ -94,6 +94,16 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_digests(bpe.decode(encoded, ranks))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    configure(spark)
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    docs = documents(spark, sf_dir)
+    model = language.fit(docs.where(~F.coalesce(held_out, F.lit(True))))
+    found = language.identify(docs, model)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "lang_pred", "score")
+
+
 def op8_hilbert_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every vector whose id is divisible by 20."""
     configure(spark)
@@ -123,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_minhash_neardup": op4_minhash_neardup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_language_id": op7_language_id,
     "op8_hilbert_nearest": op8_hilbert_nearest,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
