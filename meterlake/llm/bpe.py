@@ -233,16 +233,18 @@ def encode(
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
         """One group: the ids of its words, and its positions."""
         unpack = zstandard.ZstdDecompressor().decompress
-        table: dict[int, bytes] = {}
+        size = max(left["n_words"].to_pylist(), default=0)
+        table: list[bytes | None] = [None] * size
         for numbers, counts, ids in zip(
             *(right[c].to_pylist() for c in ("numbers", "counts", "ids")), strict=True
         ):
             ids, at = unpack(ids), 0
             numbers, counts = np.cumsum(_values(unpack(numbers))), _values(unpack(counts))
             for word, n in zip(numbers.tolist(), (counts * width).tolist(), strict=True):
-                table[word] = ids[at : at + n]
+                if word < size:
+                    table[word] = ids[at : at + n]
                 at += n
-        if any(n != len(table) for n in left["n_words"].to_pylist()):
+        if None in table:
             raise ValueError("the input came in another order when it was read again")
         doc_ids, out = [], []
         for ids, lengths, packed in zip(
@@ -281,61 +283,65 @@ def _arrow_type(df: DataFrame) -> pa.DataType:
     return to_arrow_type(df.schema["doc_id"].dataType)
 
 
+def _decoded(batches: Iterator[pa.RecordBatch], ranks_path: str) -> Iterator[pa.RecordBatch]:
+    """``doc_id, ids, decoded``, in small batches: looking up takes 24 bytes a byte of text."""
+    data, begin, length = _token_bytes(ranks_path)
+    for batch in small_batches(batches, "ids", 1 << 20):
+        decoded = []
+        for one in batch.column("ids").to_pylist():
+            tokens = np.frombuffer(one or b"", "<u4")
+            if len(tokens) and (tokens.max() >= len(length) or (length[tokens] < 0).any()):
+                raise ValueError("an id is not in the vocabulary")
+            sizes = length[tokens]
+            ends = np.cumsum(sizes)
+            shift = np.repeat(begin[tokens] - (ends - sizes), sizes)
+            decoded.append(data[shift + np.arange(len(shift))].tobytes())
+        yield pa.record_batch(
+            [batch.column("doc_id"), batch.column("ids"), pa.array(decoded, pa.binary())],
+            names=["doc_id", "ids", "decoded"],
+        )
+
+
 def decode(encoded: DataFrame, ranks_path: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``doc_id, ids, decoded``: the bytes behind the ids, each id joined to the token-byte table.
 
     The table is fixed by the vocabulary, so every task holds it and looks ids up by position,
-    a batch at a time. Null ids decode to no bytes. An id outside the table is an error.
+    a batch at a time. Null ids decode to no bytes. An id outside the table is an error. Other
+    columns are not read.
     """
     ship(encoded.sparkSession)
-    id_type = encoded.schema[doc_id].dataType.simpleString()
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, begin, length = _token_bytes(ranks_path)
-        for batch in small_batches(batches, "ids", 8 << 20):
-            decoded = []
-            for one in batch.column("ids").to_pylist():
-                tokens = np.frombuffer(one or b"", "<u4")
-                if len(tokens) and (tokens.max() >= len(length) or (length[tokens] < 0).any()):
-                    raise ValueError("an id is not in the vocabulary")
-                sizes = length[tokens]
-                ends = np.cumsum(sizes)
-                shift = np.repeat(begin[tokens] - (ends - sizes), sizes)
-                decoded.append(data[shift + np.arange(len(shift))].tobytes())
-            yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("ids"), pa.array(decoded, pa.binary())],
-                names=["doc_id", "ids", "decoded"],
-            )
-
+    kind = encoded.schema[doc_id].dataType.simpleString()
     return encoded.select(F.col(doc_id).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(
-        look_up, f"doc_id {id_type}, ids binary, decoded binary"
+        lambda batches: _decoded(batches, ranks_path), f"doc_id {kind}, ids binary, decoded binary"
     )
 
 
-def with_digests(decoded: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``; the first of decimal ids joined by one space."""
-    ship(decoded.sparkSession)
-    id_type = decoded.schema["doc_id"].dataType.simpleString()
+def digests(encoded: DataFrame, ranks_path: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: decodes as ``decode`` does and keeps the
+    SHA-256 of the decimal ids joined by one space and of the decoded bytes."""
+    ship(encoded.sparkSession)
+    kind = encoded.schema[doc_id].dataType.simpleString()
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
 
         written: list[str] = []
-        for batch in small_batches(batches, "decoded", 8 << 20):
+        for batch in _decoded(batches, ranks_path):
             ids = [np.frombuffer(x or b"", "<u4") for x in batch.column("ids").to_pylist()]
             most = max((int(x.max()) for x in ids if len(x)), default=-1)
             written.extend(map(str, range(len(written), most + 1)))
-            text = [" ".join(map(written.__getitem__, x.tolist())) for x in ids]
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),
                     pa.array(map(len, ids), pa.int64()),
-                    pa.array([sha256(x.encode()).hexdigest() for x in text]),
-                    pa.array([sha256(x or b"").hexdigest() for x in batch.column("decoded").to_pylist()]),
+                    pa.array(
+                        [sha256(" ".join(map(written.__getitem__, x.tolist())).encode()).hexdigest() for x in ids]
+                    ),
+                    pa.array([sha256(x).hexdigest() for x in batch.column("decoded").to_pylist()]),
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return decoded.mapInArrow(
-        digest, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encoded.select(F.col(doc_id).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(
+        digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -91,7 +91,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
-    return bpe.with_digests(bpe.decode(encoded, ranks))
+    return bpe.digests(encoded, ranks)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
