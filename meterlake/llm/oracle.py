@@ -51,7 +51,32 @@ judged AS (
 SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM judged
 """
 
+OP6 = r"""
+WITH all_lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents WHERE text IS NOT NULL),
+filled AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM all_lines
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+pairs AS (
+  SELECT a.doc_id, a.pos AS first_at, b.pos AS second_at,
+         row_number() OVER (PARTITION BY a.line, b.line ORDER BY a.doc_id, a.pos) AS place
+  FROM filled a JOIN filled b ON a.doc_id = b.doc_id AND b.n = a.n + 1),
+removed AS (SELECT DISTINCT doc_id, unnest([first_at, second_at]) AS pos FROM pairs WHERE place > 1),
+islands AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM removed),
+counts AS (SELECT doc_id, count(*) AS n_removed, count(DISTINCT run) AS n_runs FROM islands GROUP BY doc_id),
+kept AS (
+  SELECT a.doc_id, string_agg(a.line, chr(10) ORDER BY a.pos) AS text
+  FROM all_lines a LEFT JOIN removed r ON a.doc_id = r.doc_id AND a.pos = r.pos
+  WHERE r.pos IS NULL GROUP BY a.doc_id)
+SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
+       CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept.text, '')) END AS kept_sha256
+FROM documents d LEFT JOIN counts ON d.doc_id = counts.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op2_chat_formatting": OP2,
     "op3_quality_rules": OP3,
+    "op6_line_dedup": OP6,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, chat, language, neardup, nearest, packing, quality, suffixes, tokens
+from meterlake.llm import bpe, chat, language, lines, neardup, nearest, packing, quality, suffixes, tokens
 from meterlake.llm.common import documents, let
 from meterlake.session import configure
 
@@ -94,6 +94,13 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(encoded, ranks)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that came before."""
+    configure(spark)
+    out = lines.remove_repeated_lines(documents(spark, sf_dir))
+    return out.select("doc_id", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three quarters of them."""
     configure(spark)
@@ -133,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_minhash_neardup": op4_minhash_neardup,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_line_dedup": op6_line_dedup,
     "op7_language_id": op7_language_id,
     "op8_hilbert_nearest": op8_hilbert_nearest,
     "op9_token_counts": op9_token_counts,
