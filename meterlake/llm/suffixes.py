@@ -51,7 +51,7 @@ def repeated_spans(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """``doc_id, text, removed``: the maximal spans of bytes, ``array<struct<begin, end>>``, that
+    """``doc_id, text, others, removed``: the maximal spans of bytes, ``array<struct<begin, end>>``, that
     are covered by a string of ``size`` bytes which also starts in a document with a smaller id.
 
     Bucket-pointer refinement over a sampled suffix array:
@@ -72,15 +72,18 @@ def repeated_spans(
 
     Documents with an equal id don't remove from one another. A null id neither removes nor
     loses bytes. Texts under ``size`` bytes, empty or null (as empty) lose nothing. Repeated rows
-    come out as often as they went in. An empty table gives no rows. Ids are integers. Other
-    columns are not read.
+    come out as often as they went in. An empty table gives no rows. Ids are integers. ``others``
+    is a struct of the remaining columns, whatever their names.
     """
     spark = docs.sparkSession
     ship(spark)
+    others = [F.col(c) for c in docs.columns if c not in (doc_id, text)]
     clean = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        (F.struct(*others) if others else F.struct(F.lit(0))).alias("others"),
     )
-    # The one shuffle of texts; the three uses below read it again.
+    # The one shuffle of texts; the three uses below read it again, with all of its columns.
     placed = clean.repartition("doc_id")
     known = clean.where(F.col("doc_id").isNotNull()).select(
         "doc_id", F.xxhash64("text").alias("tag"), F.unhex(F.sha2("text", 256)).alias("digest")
@@ -113,7 +116,7 @@ def repeated_spans(
         placed.where(F.col("doc_id").isNotNull())
         .withColumn("own_tag", F.xxhash64("text"))
         .join(copies, (F.col("doc_id") == F.col("copy_id")) & same("own_tag", "copy_tag"), "left_anti")
-        .select("doc_id", "text")
+        .select("doc_id", "text", "others")
     )
 
     def sampled(batch: pa.RecordBatch):
@@ -164,7 +167,7 @@ def repeated_spans(
 
     pieces = (
         tagged(placed.join(by_doc, "doc_id"))
-        .select("doc_id", "tag", "text", "keys")
+        .select("doc_id", "tag", "text", "others", "keys")
         .mapInArrow(cut, "doc_id long, tag long, key long, begin long, piece binary")
     )
     ordered = (
@@ -217,6 +220,7 @@ def repeated_spans(
         .select(
             "doc_id",
             "text",
+            "others",
             F.when(F.col("copy_id").isNotNull() & (n_bytes >= size), everything)
             .otherwise(F.coalesce("removed", none))
             .alias("removed"),
@@ -317,3 +321,41 @@ def kept_text(text: Column, removed: Column) -> Column:
             "",
         ),
     )
+
+
+def remove_repeated_bytes(
+    docs: DataFrame, size: int = 50, gram: int = 20, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows and columns of ``docs``, texts without their repeated spans. A span gives up the bytes
+    of a character that it holds in part, so that texts stay valid."""
+    found = repeated_spans(docs, size, gram, doc_id, text)
+    kind = found.schema["doc_id"].dataType.simpleString()
+    rest = found.schema["others"].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            texts = [
+                _without(t.encode(), spans).decode()
+                for t, spans in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist(), strict=True)
+            ]
+            yield pa.record_batch(
+                [batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("others")],
+                names=["doc_id", "text", "others"],
+            )
+
+    out = found.mapInArrow(cut, f"doc_id {kind}, text string, others {rest}")
+    columns = {doc_id: F.col("doc_id"), text: F.col("text")}
+    return out.select(*[columns.get(c, F.col(f"others.`{c}`")).alias(c) for c in docs.columns])
+
+
+def _without(data: bytes, spans: list[dict]) -> bytes:
+    kept, at = [], 0
+    for span in spans:
+        begin, end = span["begin"], span["end"]
+        while begin < end and data[begin] & 0xC0 == 0x80:
+            begin += 1
+        while begin < end < len(data) and data[end] & 0xC0 == 0x80:
+            end -= 1
+        kept.append(data[at:begin])
+        at = end
+    return b"".join([*kept, data[at:]])
