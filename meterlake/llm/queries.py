@@ -16,7 +16,8 @@ from meterlake.session import configure
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that lie in a 50-byte string of an earlier one."""
     configure(spark)
-    found = suffixes.repeated_spans(documents(spark, sf_dir))
+    # No more columns than the result needs: all that there are go through the shuffle of texts.
+    found = suffixes.repeated_spans(documents(spark, sf_dir).select("doc_id", "text"))
     removed = F.aggregate(
         "removed", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"]
     )

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from meterlake.llm.bytestext import flat, grams, runs, scramble, window_minima
 from meterlake.llm.common import let, ship, small_batches
 
+# A bucket's name is 48 bits of its gram's hash: two grams of one name are told apart later on.
+KEY = np.uint64((1 << 48) - 1)
 LOW, HIGH = np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFF00000000)
 
 
@@ -41,7 +43,7 @@ def sampled_suffixes(
     first = places[new]
     row = np.searchsorted(begins, first, "right") - 1
     # Empty texts share their begin with the next one; the last of them is the text meant.
-    return row, hashes[at[new]].view(np.int64), first, np.diff(np.append(new, len(places)))
+    return row, (hashes[at[new]] & KEY).view(np.int64), first, np.diff(np.append(new, len(places)))
 
 
 def repeated_spans(
@@ -67,25 +69,28 @@ def repeated_spans(
        side by side, and the least document of each bucket decides.
 
     Exact copies of a whole text are settled first and stay out of the buckets. The order of
-    the steps is fixed by content, nothing depends on how rows are spread. Buckets are equal if
-    their 64-bit hash and the 64-bit hash of the string are, two different functions.
+    the steps is fixed by content, nothing depends on how rows are spread. Strings are taken as
+    equal if 48 bits of one hash and 64 bits of another are.
 
     Documents with an equal id don't remove from one another. A null id neither removes nor
     loses bytes. Texts under ``size`` bytes, empty or null (as empty) lose nothing. Repeated rows
     come out as often as they went in. An empty table gives no rows. Ids are integers. ``others``
-    is a struct of the remaining columns, whatever their names.
+    is a struct of the remaining columns, whatever their names, and is missing if there are none.
     """
     spark = docs.sparkSession
     ship(spark)
-    others = [F.col(c) for c in docs.columns if c not in (doc_id, text)]
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)]
+    others = ["others"] if rest else []
     clean = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
-        (F.struct(*others) if others else F.struct(F.lit(0))).alias("others"),
+        *([F.struct(*rest).alias("others")] if rest else []),
     )
-    # The one shuffle of texts; the three uses below read it again, with all of its columns.
-    placed = clean.repartition("doc_id")
-    known = clean.where(F.col("doc_id").isNotNull()).select(
+    # The one shuffle of texts; the three uses below read it again, with all of its columns
+    # and the same filter, without which it would be written twice.
+    named = clean.where(F.col("doc_id").isNotNull())
+    placed = named.repartition("doc_id")
+    known = named.select(
         "doc_id", F.xxhash64("text").alias("tag"), F.unhex(F.sha2("text", 256)).alias("digest")
     )
     # Ids that several different texts carry, as a rule none: these texts need a tag.
@@ -113,10 +118,9 @@ def repeated_spans(
         return F.col(left).bitwiseXOR(F.col(right)) == 0
 
     singles = (
-        placed.where(F.col("doc_id").isNotNull())
-        .withColumn("own_tag", F.xxhash64("text"))
+        placed.withColumn("own_tag", F.xxhash64("text"))
         .join(copies, (F.col("doc_id") == F.col("copy_id")) & same("own_tag", "copy_tag"), "left_anti")
-        .select("doc_id", "text", "others")
+        .select("doc_id", "text", *others)
     )
 
     def sampled(batch: pa.RecordBatch):
@@ -167,7 +171,7 @@ def repeated_spans(
 
     pieces = (
         tagged(placed.join(by_doc, "doc_id"))
-        .select("doc_id", "tag", "text", "others", "keys")
+        .select("doc_id", "tag", "text", *others, "keys")
         .mapInArrow(cut, "doc_id long, tag long, key long, begin long, piece binary")
     )
     ordered = (
@@ -212,6 +216,7 @@ def repeated_spans(
     n_bytes = F.octet_length("text").cast("long")
     none = F.array().cast("array<struct<begin: bigint, end: bigint>>")
     everything = F.array(F.struct(F.lit(0).cast("long").alias("begin"), n_bytes.alias("end")))
+    nameless = clean.where(F.col("doc_id").isNull()).withColumn("removed", none)
     return (
         tagged(placed)
         .withColumn("own_tag", F.xxhash64("text"))
@@ -220,11 +225,12 @@ def repeated_spans(
         .select(
             "doc_id",
             "text",
-            "others",
+            *others,
             F.when(F.col("copy_id").isNotNull() & (n_bytes >= size), everything)
             .otherwise(F.coalesce("removed", none))
             .alias("removed"),
         )
+        .unionByName(nameless)
     )
 
 
@@ -330,7 +336,8 @@ def remove_repeated_bytes(
     of a character that it holds in part, so that texts stay valid."""
     found = repeated_spans(docs, size, gram, doc_id, text)
     kind = found.schema["doc_id"].dataType.simpleString()
-    rest = found.schema["others"].dataType.simpleString()
+    rest = found.columns[2:-1]
+    others = "".join(f", others {found.schema[c].dataType.simpleString()}" for c in rest)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -339,13 +346,15 @@ def remove_repeated_bytes(
                 for t, spans in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist(), strict=True)
             ]
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(texts, pa.string()), batch.column("others")],
-                names=["doc_id", "text", "others"],
+                [batch.column("doc_id"), pa.array(texts, pa.string()), *[batch.column(c) for c in rest]],
+                names=["doc_id", "text", *rest],
             )
 
-    out = found.mapInArrow(cut, f"doc_id {kind}, text string, others {rest}")
+    out = found.mapInArrow(cut, f"doc_id {kind}, text string{others}")
     columns = {doc_id: F.col("doc_id"), text: F.col("text")}
-    return out.select(*[columns.get(c, F.col(f"others.`{c}`")).alias(c) for c in docs.columns])
+    return out.select(
+        *[columns[c].alias(c) if c in columns else F.col(f"others.`{c}`") for c in docs.columns]
+    )
 
 
 def _without(data: bytes, spans: list[dict]) -> bytes:
