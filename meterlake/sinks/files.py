@@ -49,11 +49,15 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def first_line(spark: SparkSession, path: str) -> str:
-    """First line of a text file; only the start of the file is read."""
+    """First line of a text file, packed or not; only the start of the file is read."""
     fs, target = _open(spark, path)
+    jvm = spark._jvm
+    factory = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    codec = factory.getCodec(target)
     stream = fs.open(target)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
     try:
-        jvm = spark._jvm
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         return reader.readLine() or ""
     finally:

@@ -56,12 +56,14 @@ def create_if_missing(df: DataFrame, path: str) -> None:
     df.write.mode("ignore").parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: str, gather: bool = True) -> None:
     """Replace exactly the partitions that occur in ``df``; repeating it changes nothing.
 
-    ``df`` must not read ``path``; see :func:`restate_partitions` for that.
+    Without ``gather`` tasks write what they hold, which saves a shuffle where all rows are of
+    one partition. ``df`` must not read ``path``; see :func:`restate_partitions` for that.
     """
-    writer = _layout(df, partition_by).mode("overwrite")
+    layout = _layout(df, partition_by) if gather else df.write.partitionBy(partition_by)
+    writer = layout.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 

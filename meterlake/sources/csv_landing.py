@@ -7,31 +7,40 @@ from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from meterlake.operators.readings import RESCUED
 from meterlake.sinks import files
 from meterlake.sources.schemas import evolve_schema, load_schema, merge_inferred, save_schema
+from meterlake.sources.streams import ANY_AGE
 
-SOURCE_FILE = "source_file_name"
+SOURCE_FILE, SOURCE_TIME = "source_file_name", "source_modified_at"
 _DISCOVERY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def discover_files(spark: SparkSession, path: str, max_files: int, pattern: str = "*.csv") -> DataFrame:
+def discover_files(
+    spark: SparkSession, path: str, max_files: int, pattern: str | None = None, archive: str | None = None
+) -> DataFrame:
     """Stream of the paths of new files. Only the listing is read, never a file's content.
 
-    The age limit is lifted: a file delivered late with an old time stamp is still taken.
+    Every file is taken whatever its suffix, but for names that begin with ``_`` or ``.``;
+    ``pattern`` narrows that. A file delivered late with an old time stamp is still taken. The
+    stream remembers every path it has seen; with ``archive``, files are moved there once a
+    later batch has begun, so that neither the folder nor that memory grows for ever.
     """
-    return (
+    reader = (
         spark.readStream.format("binaryFile")
         .schema(_DISCOVERY_SCHEMA)
-        .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
-        .option("maxFileAge", "36500d")
-        .load(path)
-        .select("path")
+        .option("maxFileAge", ANY_AGE)
     )
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    if archive:
+        reader = reader.options(cleanSource="archive", sourceArchiveDir=archive)
+    return reader.load(path).select("path")
 
 
 def group_by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
@@ -59,7 +68,8 @@ def read_landed(
     A CSV reader maps columns by position, so files are read per distinct header and put
     together by name. Types are inferred only from files that hold a column not stored yet;
     a stored type stays. A line with a value that does not fit is kept: the value is null
-    and the line is in the rescue column. Files that lack a column give null.
+    and the line is in the rescue column. Files that lack a column give null, and so does a
+    batch of files that all lack it.
     """
     groups = group_by_header(spark, paths)
     if not groups:
@@ -79,7 +89,13 @@ def read_landed(
             spark.read.schema(layout)
             .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=RESCUED)
             .csv(group)
-            .selectExpr("*", f"_metadata.file_path AS {SOURCE_FILE}")
+            .selectExpr(
+                "*",
+                f"_metadata.file_path AS {SOURCE_FILE}",
+                f"_metadata.file_modification_time AS {SOURCE_TIME}",
+            )
         )
         result = part if result is None else result.unionByName(part, allowMissingColumns=True)
-    return result.select(*[c for c in [*evolved.names, RESCUED, SOURCE_FILE] if c in result.columns])
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in evolved.fields if f.name not in result.columns}
+    result = result.withColumns(missing)
+    return result.select(*[c for c in [*evolved.names, RESCUED, SOURCE_FILE, SOURCE_TIME] if c in result.columns])

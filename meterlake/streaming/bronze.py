@@ -16,11 +16,11 @@ from meterlake.operators.scd2 import scd2_apply
 from meterlake.sinks import files
 from meterlake.sinks.snapshots import read_snapshot, refresh, snapshot_exists
 from meterlake.sinks.tables import overwrite_partitions
-from meterlake.sources.csv_landing import SOURCE_FILE, discover_files, read_landed
-from meterlake.sources.schemas import load_schema, save_schema
+from meterlake.sources.csv_landing import SOURCE_FILE, SOURCE_TIME, discover_files, read_landed
+from meterlake.sources.schemas import evolve_schema, load_schema, save_schema
 from meterlake.streaming.runners import stream_apply
 
-INGEST = "ingest"
+INGEST, BATCH = "ingest", "ingest_batch"
 MAX_FILES = 1000
 
 
@@ -72,14 +72,18 @@ def ingest_csv(
 ) -> None:
     """Append new CSV files to a bronze table.
 
-    A batch owns one partition of the table, so repeating it replaces its own rows only.
+    Rows carry the batch they came in and their file's modification time, which tell what
+    arrived later. A batch owns one partition of the table, so repeating it replaces its own rows only.
     """
     identity = _stream_identity(spark, checkpoint)
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        tagged = rows.withColumn(INGEST, F.lit(f"{identity}-{batch_id}"))
-        save_schema(spark, f"{store}.table", tagged.schema)
-        overwrite_partitions(tagged, target, INGEST)
+        numbered = rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        tagged = numbered.withColumn(INGEST, F.lit(f"{identity}-{batch_id}"))
+        # The stored schema only grows, whatever columns this batch has.
+        grown = evolve_schema(load_schema(spark, f"{store}.table"), tagged.schema)
+        save_schema(spark, f"{store}.table", grown)
+        overwrite_partitions(tagged, target, INGEST, gather=False)
 
     land_files(spark, source, store, checkpoint, run_id, write, schema, ingested_at, max_files)
 
@@ -116,7 +120,7 @@ def ingest_versions(
         known = read_snapshot(spark, target) if snapshot_exists(spark, target) else None
         incoming = rows.drop(RESCUED)
         versions = scd2_apply(
-            known, incoming, key, tracked, as_of, null_safe, on_duplicate, [SOURCE_FILE]
+            known, incoming, key, tracked, as_of, null_safe, on_duplicate, [SOURCE_TIME, SOURCE_FILE]
         )
         refresh(versions, target)
 

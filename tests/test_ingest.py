@@ -34,7 +34,7 @@ def test_columns_are_mapped_by_name(landing):
     landing.put("a.csv", "id,meter,value", "1,0,1.5")
     landing.put("b.csv", "value,id,meter", "2.5,2,1")
     landing.put("empty.csv")
-    landing.put("ignored.txt", "id", "9")
+    landing.put("_hidden.csv", "id", "9")
     got = landing.run()
     assert sorted((r.id, r.meter, r.value) for r in got.collect()) == [(1, 0, 1.5), (2, 1, 2.5)]
     row = got.filter("id = 1").first()
