@@ -2,8 +2,8 @@
 
 Adding doubles gives a last digit that depends on row order, hence on partitioning and on
 how a stream was cut into batches. Readings carry two decimals, so sums run on decimals and
-come out the same in any order. NaN and the infinities have no decimal; they are summed
-apart and added at the end, where they take over as in double arithmetic.
+come out the same in any order. NaN, the infinities and values too large for the decimal are
+summed apart as doubles and added at the end.
 """
 
 from __future__ import annotations
@@ -22,14 +22,15 @@ def is_finite(value: Column) -> Column:
 
 
 def as_exact(value: Column, scale: int = SCALE) -> Column:
-    """Decimal form of a finite double, null for null, NaN and the infinities."""
-    return F.when(is_finite(value), value.cast(f"decimal({PRECISION},{scale})"))
+    """Decimal form of a double, null for null, NaN, the infinities and values that don't fit."""
+    return F.when(is_finite(value), value.try_cast(f"decimal({PRECISION},{scale})"))
 
 
 def exact_sum(value: Column, scale: int = SCALE) -> Column:
     """``sum`` of a double column as an order-independent aggregate."""
-    finite = F.sum(as_exact(value, scale)).cast("double")
-    special = F.sum(F.when(~is_finite(value), value))
+    exact = as_exact(value, scale)
+    finite = F.sum(exact).cast("double")
+    special = F.sum(F.when(exact.isNull(), value))
     return F.coalesce(finite + special, special, finite)
 
 

@@ -8,26 +8,25 @@ from pyspark.sql import functions as F
 from meterlake.operators.rolling import join_back
 
 
-def forward_fill(df: DataFrame, key: str, ts: str, columns: list[str]) -> DataFrame:
-    """Replace nulls by the key's last non-null value in time order.
-
-    Rows of one key and time count as ordered with their known values first, so a null
-    takes a value of its own time if there is one (the largest, if they differ).
+def last_known(df: DataFrame, key: str, ts: str, columns: list[str]) -> DataFrame:
+    """One row a key and time: ``_fill_key``, ``_fill_ts``, the filled columns as ``_fill_<column>``
+    and how many rows lack a value of their own as ``_gaps_<column>``.
 
     A key's history is never gathered in one task. Values are reduced to one row per key and
     time before the first shuffle, filled inside each key-day, and the value carried in from
     earlier days comes from a table with one row per key and day.
     """
     k, t, day = "_fill_key", "_fill_ts", "_fill_day"
+    gaps = [f"_gaps_{c}" for c in columns]
     known = (
         df.groupBy(F.col(key).alias(k), F.col(ts).alias(t))
-        .agg(*[F.max(c).alias(c) for c in columns])
+        .agg(*[F.max(c).alias(c) for c in columns], *[F.count_if(F.col(c).isNull()).alias(f"_gaps_{c}") for c in columns])
         .withColumn(day, F.to_date(t))
     )
 
     within = Window.partitionBy(k, day).orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
     filled = known.select(
-        k, t, day, *[F.last(c, ignorenulls=True).over(within).alias(c) for c in columns]
+        k, t, day, *gaps, *[F.last(c, ignorenulls=True).over(within).alias(c) for c in columns]
     )
     # A struct keeps the order usable for rows without a time, which sort first.
     closing = known.groupBy(k, day).agg(
@@ -39,28 +38,113 @@ def forward_fill(df: DataFrame, key: str, ts: str, columns: list[str]) -> DataFr
         F.col(day).alias("_carry_day"),
         *[F.last(c, ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in columns],
     )
-
-    complete = join_back(filled, carried, {k: "_carry_key", day: "_carry_day"}).select(
-        k, t, *[F.coalesce(c, f"_carry_{c}").alias(f"_fill_{c}") for c in columns]
+    return join_back(filled, carried, {k: "_carry_key", day: "_carry_day"}).select(
+        k, t, *gaps, *[F.coalesce(c, f"_carry_{c}").alias(f"_fill_{c}") for c in columns]
     )
-    joined = join_back(df, complete, {key: k, ts: t})
+
+
+def _put_in(df: DataFrame, complete: DataFrame, key: str, ts: str, columns: list[str]) -> DataFrame:
+    wanted = complete.drop(*[f"_gaps_{c}" for c in columns])
+    joined = join_back(df, wanted, {key: "_fill_key", ts: "_fill_ts"})
     return joined.withColumns({c: F.coalesce(c, f"_fill_{c}") for c in columns}).drop(
         *[f"_fill_{c}" for c in columns]
     )
 
 
-def group_medians(df: DataFrame, key: str, columns: list[str], accuracy: int = 10_000) -> DataFrame:
-    """Approximate (discrete) median per key, as ``med_<column>``. Sketches merge map-side."""
-    return df.groupBy(key).agg(
-        *[F.percentile_approx(c, 0.5, accuracy).alias(f"med_{c}") for c in columns]
+def forward_fill(df: DataFrame, key: str, ts: str, columns: list[str]) -> DataFrame:
+    """Replace nulls by the key's last non-null value in time order.
+
+    Rows of one key and time count as ordered with their known values first, so a null
+    takes a value of its own time if there is one (the largest, if they differ).
+    """
+    return _put_in(df, last_known(df, key, ts, columns), key, ts, columns)
+
+
+def _listed(df: DataFrame, key: str, columns: list[str], value: str, n: str) -> DataFrame:
+    """``_key, _column, _value, _n`` for some columns; ``{}`` in the names stands for the column."""
+    each = [
+        F.struct(F.lit(c).alias("_column"), F.expr(value.format(c)).alias("_value"), F.expr(n.format(c)).alias("_n"))
+        for c in columns
+    ]
+    return df.select(F.col(key).alias("_key"), F.inline(F.array(*each))).where(
+        "_value IS NOT NULL AND _n > 0 AND _key IS NOT NULL"
     )
 
 
-def fill_with_medians(df: DataFrame, key: str, columns: list[str], accuracy: int = 10_000) -> DataFrame:
-    """Replace remaining nulls by the key's median. Rows without a key keep their gaps."""
-    medians = group_medians(df, key, columns, accuracy)
+BUCKETS = 1024
+
+
+def medians_of_counts(counted: DataFrame) -> DataFrame:
+    """Exact discrete medians of ``_key, _column, _value, _n``: ``_key, _column, _median``.
+
+    The smallest value that half of the rows don't exceed, as ``quantile_disc`` gives. Values are
+    reduced to counts first. The range of a key's values is cut into buckets, and only the
+    bucket that holds the middle is put in order; equal counts give the same median in any order
+    or cut of the rows. NaN counts as the largest value.
+    """
+    group = ["_key", "_column"]
+    counts = counted.groupBy(*group, "_value").agg(F.sum("_n").alias("_n"))
+    finite = F.when(~F.isnan("_value") & (F.abs("_value") != float("inf")), F.col("_value"))
+    ranges = counts.groupBy(*group).agg(
+        F.min(finite).alias("_low"), F.max(finite).alias("_high"), F.sum("_n").alias("_rows")
+    )
+    # Halves, so that the width of the range is finite too.
+    width = F.col("_high") / 2 - F.col("_low") / 2
+    step = F.when(width > 0, F.floor((finite / 2 - F.col("_low") / 2) / width * BUCKETS)).otherwise(F.lit(0))
+    bucket = F.when(finite.isNotNull(), step).when(F.col("_value") < 0, F.lit(-1)).otherwise(F.lit(BUCKETS + 1))
+    placed = counts.join(ranges, group).withColumn("_bucket", bucket)
+    sums = placed.groupBy(*group, "_bucket").agg(F.sum("_n").alias("_inside"), F.max("_rows").alias("_rows"))
+    upto = Window.partitionBy(*group).orderBy("_bucket")
+    middle = (
+        sums.withColumn("_reached", F.sum("_inside").over(upto))
+        .withColumn("_before", F.col("_reached") - F.col("_inside"))
+        .where("2 * _reached >= _rows AND 2 * _before < _rows")
+        .select(*group, "_bucket", "_before")
+    )
+    inside = Window.partitionBy(*group).orderBy("_value")
+    return (
+        placed.join(middle, [*group, "_bucket"])
+        .withColumn("_reached", F.col("_before") + F.sum("_n").over(inside))
+        .where("2 * _reached >= _rows")
+        .groupBy(*group)
+        .agg(F.min("_value").alias("_median"))
+    )
+
+
+def _by_column(medians: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    return medians.groupBy(F.col("_key").alias(key)).agg(
+        *[F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(f"med_{c}") for c in columns]
+    )
+
+
+def group_medians(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Exact discrete median per key, as ``med_<column>``; a key without any value has none."""
+    found = medians_of_counts(_listed(df, key, columns, "CAST(`{}` AS DOUBLE)", "1L"))
+    keys = df.select(key).distinct()
+    return keys.join(_by_column(found, key, columns), key, "left")
+
+
+def _with_medians(df: DataFrame, medians: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return (
         df.join(medians, key, "left")
         .withColumns({c: F.coalesce(c, f"med_{c}") for c in columns})
         .drop(*[f"med_{c}" for c in columns])
     )
+
+
+def fill_with_medians(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Replace remaining nulls by the key's median. Rows without a key keep their gaps."""
+    return _with_medians(df, group_medians(df, key, columns), key, columns)
+
+
+def fill_gaps(df: DataFrame, key: str, ts: str, columns: list[str]) -> DataFrame:
+    """``forward_fill``, then ``fill_with_medians`` of its result, with the filling done once.
+
+    The rows after filling are the values that were there and, for each gap, the value of its key
+    and time, so the medians come from those two sets of counts and not from the filled rows.
+    """
+    complete = last_known(df, key, ts, columns)
+    there = _listed(df, key, columns, "CAST(`{}` AS DOUBLE)", "1L")
+    put = _listed(complete, "_fill_key", columns, "CAST(`_fill_{}` AS DOUBLE)", "`_gaps_{}`")
+    medians = _by_column(medians_of_counts(there.unionByName(put)), key, columns)
+    return _with_medians(_put_in(df, complete, key, ts, columns), medians, key, columns)

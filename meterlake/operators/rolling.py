@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.functions.numeric import SCALE, as_exact
+from meterlake.functions.numeric import SCALE, as_exact, is_finite
 
 # Windows per chunk: a quarter of the sums is copied, a chunk spans five windows at most.
 CHUNK_WINDOWS = 4
@@ -32,7 +32,8 @@ def rolling_mean(
     """Mean of ``value`` per key over rows from ``seconds`` before to the row's own second.
 
     Both ends count, and so do all rows of the same second. Values are taken to ``scale``
-    decimals; sums are exact.
+    decimals; sums are exact. Values of 10^26 and more are summed as doubles and count only in
+    frames that hold one.
 
     A window over the raw rows would put a key's whole history into one task and re-add the
     frame for every row. Instead rows are first summed per key and second, with partial
@@ -47,11 +48,18 @@ def rolling_mean(
     groups = {k: f"_{out}_{k}" for k in keys}
     raw = F.col(value).cast("double")
     exact = as_exact(raw, scale)
+    huge = F.when(is_finite(raw) & exact.isNull(), raw)
     marks = F.when(F.isnan(raw), 1).when(raw == PLUS, 2).when(raw == MINUS, 4).otherwise(0)
     per_second = (
         df.select(*[F.col(k).alias(g) for k, g in groups.items()], F.col(second).alias("s"), value)
         .groupBy(*groups.values(), "s")
-        .agg(F.sum(exact).alias("total"), F.count(exact).alias("n"), F.bit_or(marks).alias("marks"))
+        .agg(
+            F.sum(exact).alias("total"),
+            F.count(F.when(is_finite(raw), raw)).alias("n"),
+            F.bit_or(marks).alias("marks"),
+            F.sum(huge).alias("huge"),
+            F.count(huge).alias("n_huge"),
+        )
     )
     span = CHUNK_WINDOWS * seconds
     own, last = F.floor(F.col("s") / span), F.floor((F.col("s") + seconds) / span)
@@ -78,6 +86,8 @@ def rolling_mean(
         "chunk",
         in_frame("total").alias("total"),
         in_frame("n").alias("n"),
+        in_frame("huge").alias("huge"),
+        in_frame("n_huge").alias("n_huge"),
         marked(1).alias("nan"),
         marked(2).alias("plus"),
         marked(4).alias("minus"),
@@ -86,6 +96,7 @@ def rolling_mean(
         F.when(F.col("nan") | (F.col("plus") & F.col("minus")), F.lit(NAN))
         .when(F.col("plus"), F.lit(PLUS))
         .when(F.col("minus"), F.lit(MINUS))
+        .when(F.col("n_huge") > 0, (F.coalesce(F.col("total").cast("double"), F.lit(0.0)) + F.col("huge")) / F.col("n"))
         .when(F.col("n") > 0, F.col("total").cast("double") / F.col("n"))
     )
     means = framed.select(*groups.values(), F.col("s").alias(f"{second}_r"), mean.alias(out))

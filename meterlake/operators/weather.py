@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlake.functions.calendar import convert, to_moment
 from meterlake.functions.labels import temperature_band
-from meterlake.operators.fill import fill_with_medians, forward_fill
+from meterlake.operators.fill import fill_gaps
 from meterlake.operators.readings import RESCUED
 
 # Measured columns, those without a sign, and those whose gaps are filled.
@@ -51,10 +51,8 @@ def clean_weather(
     df: DataFrame,
     strict: bool = True,
     gap_columns: list[str] | None = None,
-    accuracy: int = 10_000,
 ) -> DataFrame:
     """Standardised weather with gaps filled per site and a temperature band."""
     gaps = GAP_FILLED if gap_columns is None else gap_columns
-    filled = forward_fill(standardise_weather(df, strict), "site_id", "timestamp", gaps)
-    whole = fill_with_medians(filled, "site_id", gaps, accuracy)
+    whole = fill_gaps(standardise_weather(df, strict), "site_id", "timestamp", gaps)
     return whole.withColumn("temp_category", temperature_band(F.col("air_temperature")))

@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from meterlake.functions.calendar import convert
 from meterlake.operators.dedupe import latest_by
 from meterlake.operators.enrich import BASE_YEAR, enrich_readings
 from meterlake.operators.readings import READING_GRAIN, detect_spikes, transform_readings
 from meterlake.operators.weather import clean_weather
+from meterlake.sinks import files
 from meterlake.sinks.snapshots import read_snapshot
 from meterlake.sinks.tables import (
     overwrite_partitions,
@@ -20,13 +22,15 @@ from meterlake.sinks.tables import (
     restate_partitions,
     table_exists,
 )
+from meterlake.sources.csv_landing import SOURCE_FILE, SOURCE_TIME
 from meterlake.sources.schemas import evolve_schema, load_schema, save_schema
 from meterlake.sources.streams import table_stream
-from meterlake.streaming.bronze import INGEST, bronze_schema
+from meterlake.streaming.bronze import BATCH, INGEST, bronze_schema
 from meterlake.streaming.runners import stream_apply
 
 READING_DATE, WEATHER_DATE = "reading_date", "weather_date"
-NEWEST = ["ingestion_timestamp", "source_file_name"]
+# What arrived later: by ingestion, then batch, then the file's own time; its name breaks ties.
+NEWEST = ["ingestion_timestamp", BATCH, SOURCE_TIME, SOURCE_FILE]
 
 
 def on_dates(column: str, dates: Iterable[dt.date | None]) -> Column:
@@ -101,10 +105,16 @@ def silver_readings(
             history = stored_dates(spark, target, READING_DATE, needed)
             base = history.drop("rolling_avg_7d", "is_spike")
             rows = base.unionByName(incoming, allowMissingColumns=True)
+        # Written once: the rolling mean and the join with it both start from these rows.
+        stage = f"{checkpoint}/stage/{batch_id}"
         rows = latest_by(rows, READING_GRAIN, NEWEST)
+        if not files.exists(spark, f"{stage}/dates/_SUCCESS"):
+            rows.write.mode("overwrite").parquet(f"{stage}/rows")
+        rows = spark.read.schema(rows.schema).parquet(f"{stage}/rows")
         result = detect_spikes(rows, factor, window_days).filter(on_dates(READING_DATE, changed))
         grow_table_schema(spark, target, result.schema)
-        restate_partitions(result, target, READING_DATE, f"{checkpoint}/stage/{batch_id}")
+        restate_partitions(result, target, READING_DATE, f"{stage}/dates")
+        files.remove(spark, stage)
 
     stream = table_stream(spark, bronze, bronze_schema(spark, store), max_files)
     stream_apply(stream, restate, checkpoint)
@@ -117,38 +127,58 @@ def silver_weather(
     target: str,
     checkpoint: str,
     strict: bool = True,
-    accuracy: int = 10_000,
     max_files: int | None = None,
 ) -> None:
-    """Clean the weather again whenever there is new weather, and replace the dates that changed.
+    """Clean the weather of the sites that have new observations, and replace the dates that changed.
 
-    A late value can move a site's median and thereby any of its dates, so the cleaning runs
-    over all weather; it is a small table next to the readings. Only dates with a difference
-    are written, since a rewritten date is work for everything downstream.
+    A late value can move its site's median and thereby any date of the site, but no other
+    site's. The site's rows are cleaned once, into a stage; a date is written again only if the
+    rows of a touched site differ there, by one hash a site and date, since a rewritten date is
+    work for everything downstream. Other sites' rows of such a date are taken over as they are.
     """
 
     def restate(batch: DataFrame, batch_id: int) -> None:
         everything = spark.read.schema(bronze_schema(spark, store)).parquet(bronze).drop(INGEST)
-        rows = latest_by(everything, ["site_id", "timestamp"], NEWEST)
-        result = clean_weather(rows, strict, accuracy=accuracy)
+        site = convert(F.col("site_id"), "int", strict)
+        sites = batch.select(site.alias("_site")).distinct()
+        rows = everything.join(sites, site.eqNullSafe(F.col("_site")), "left_semi")
+        cleaned = clean_weather(latest_by(rows, ["site_id", "timestamp"], NEWEST), strict)
         stage = f"{checkpoint}/stage/{batch_id}"
-        result.write.mode("overwrite").parquet(stage)
-        result = spark.read.schema(result.schema).parquet(stage)
+        cleaned.write.mode("overwrite").parquet(f"{stage}/cleaned")
+        new = result = spark.read.schema(cleaned.schema).parquet(f"{stage}/cleaned")
         if table_exists(spark, target):
-            old = stored_table(spark, target)
-            new = result.select(*[c for c in result.columns if c in old.columns])
-            old = old.select(*new.columns)
-            differing = new.exceptAll(old).select(WEATHER_DATE).union(
-                old.exceptAll(new).select(WEATHER_DATE)
+            known = evolve_schema(load_schema(spark, f"{target}.schema"), new.schema)
+            old = spark.read.schema(known).parquet(target)
+            of_sites = old.join(sites, F.col("site_id").eqNullSafe(F.col("_site")), "left_semi")
+            dates = _differing_dates(new, of_sites)
+            others = stored_dates(spark, target, WEATHER_DATE, dates).join(
+                sites, F.col("site_id").eqNullSafe(F.col("_site")), "left_anti"
             )
-            result = result.filter(on_dates(WEATHER_DATE, touched_dates(differing, WEATHER_DATE)))
+            result = new.filter(on_dates(WEATHER_DATE, dates)).unionByName(others, allowMissingColumns=True)
         grow_table_schema(spark, target, result.schema)
-        overwrite_partitions(result, target, WEATHER_DATE)
+        restate_partitions(result, target, WEATHER_DATE, f"{stage}/dates")
+        files.remove(spark, stage)
 
     stream = table_stream(spark, bronze, bronze_schema(spark, store), max_files)
     stream_apply(stream, restate, checkpoint)
 
 
+def _differing_dates(new: DataFrame, old: DataFrame) -> set[dt.date | None]:
+    """Dates on which a site's rows are not the same in both, by count and sum of row hashes."""
+
+    def marks(df: DataFrame, name: str) -> DataFrame:
+        columns = sorted(c for c in new.columns if c in old.columns)
+        mark = F.xxhash64(F.struct(*columns)).cast("decimal(38,0)")
+        keys = [F.col("site_id").alias("s"), F.col(WEATHER_DATE).alias("d")]
+        return df.groupBy(*keys).agg(F.struct(F.count("*"), F.sum(mark)).alias(name))
+
+    a, b = marks(new, "a"), marks(old, "b").withColumnsRenamed({"s": "s2", "d": "d2"})
+    same_place = F.col("s").eqNullSafe(F.col("s2")) & F.col("d").eqNullSafe(F.col("d2"))
+    compared = a.join(b, same_place, "full_outer").where(~F.col("a").eqNullSafe(F.col("b")))
+    date = F.when(F.col("a").isNotNull(), F.col("d")).otherwise(F.col("d2"))
+    return {row[0] for row in compared.select(date).distinct().collect()}
+
+
 def silver_enriched(
     spark: SparkSession,
     readings: str,
