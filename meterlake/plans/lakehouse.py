@@ -18,6 +18,7 @@ from meterlake.operators.enrich import BASE_YEAR
 from meterlake.operators.merge import upsert
 from meterlake.operators.reports import run_report
 from meterlake.plans import dims, quality
+from meterlake.session import configure
 from meterlake.sinks.snapshots import (
     create_snapshot_if_missing,
     read_snapshot,
@@ -84,6 +85,7 @@ def _record(spark: SparkSession, cfg: LakeConfig, layer: str, results: DataFrame
 
 
 def run_bronze(spark: SparkSession, cfg: LakeConfig) -> None:
+    configure(spark)
     shared = {"run_id": cfg.run_id, "ingested_at": cfg.ingested_at, "max_files": cfg.max_files}
 
     def places(feed: str) -> list[str]:
@@ -118,6 +120,8 @@ def check_bronze(spark: SparkSession, cfg: LakeConfig) -> None:
 
 
 def run_silver(spark: SparkSession, cfg: LakeConfig) -> None:
+    configure(spark)
+
     def readings() -> None:
         silver.silver_readings(
             spark,
@@ -165,14 +169,15 @@ def check_silver(spark: SparkSession, cfg: LakeConfig) -> None:
 def run_dimensions(spark: SparkSession, cfg: LakeConfig) -> None:
     """Static dimensions are created once, type 1 replaced, and building versions upserted.
 
-    The upsert lets a version that was closed since the last run lose its current flag here too.
+    The calendar grows when the configured span does; it never shrinks. The upsert lets a
+    version that was closed since the last run lose its current flag here too.
     """
+    configure(spark)
     enriched = silver.stored_table(spark, cfg.table("silver_enriched_readings"))
     weather = silver.stored_table(spark, cfg.table("silver_weather"))
     buildings = bronze_table(spark, cfg, BUILDING)
 
     static = {
-        "dim_date": dims.dim_date(spark, cfg.first_day, cfg.last_day),
         "dim_meter_type": dims.dim_meter_type(spark),
         "dim_time_of_day": dims.dim_time_of_day(spark),
     }
@@ -190,9 +195,20 @@ def run_dimensions(spark: SparkSession, cfg: LakeConfig) -> None:
         spark,
         *[partial(create_snapshot_if_missing, df, cfg.table(name)) for name, df in static.items()],
         *[partial(refresh, df, cfg.table(name)) for name, df in replaced.items()],
+        partial(_extend_calendar, spark, cfg),
     )
 
 
+def _extend_calendar(spark: SparkSession, cfg: LakeConfig) -> None:
+    path, first, last = cfg.table("dim_date"), cfg.first_day, cfg.last_day
+    if snapshot_exists(spark, path):
+        stored = read_snapshot(spark, path).agg(F.min("date"), F.max("date")).first()
+        if stored[0] <= first and last <= stored[1]:
+            return
+        first, last = min(first, stored[0]), max(last, stored[1])
+    refresh(dims.dim_date(spark, first, last), path)
+
+
 DIMENSIONS = [
     "dim_date",
     "dim_meter_type",
@@ -205,6 +221,7 @@ DIMENSIONS = [
 
 
 def run_facts(spark: SparkSession, cfg: LakeConfig) -> None:
+    configure(spark)
     gold.gold_fact_readings(
         spark,
         cfg.table("silver_enriched_readings"),
@@ -237,6 +254,7 @@ def check_gold(spark: SparkSession, cfg: LakeConfig) -> None:
 
 def run_lakehouse(spark: SparkSession, cfg: LakeConfig) -> None:
     """Take in what is new in the landing folders and bring every table up to date."""
+    configure(spark)
     run_bronze(spark, cfg)
     check_bronze(spark, cfg)
     run_silver(spark, cfg)
