@@ -129,7 +129,7 @@ def repeated_spans(
         return data, begins, row, key, first, n
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, limit=1 << 20):
+        for batch in small_batches(batches, limit=1 << 19):
             _, _, row, key, _, _ = sampled(batch)
             ids = np.asarray(batch.column("doc_id"))
             yield pa.record_batch([pa.array(ids[row]), pa.array(key)], names=["doc_id", "key"])
@@ -145,7 +145,7 @@ def repeated_spans(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The same suffixes again, which is cheaper than to carry their places through the sort.
-        for batch in small_batches(batches, limit=1 << 20):
+        for batch in small_batches(batches, limit=1 << 19):
             data, begins, row, key, first, n = sampled(batch)
             # Who has a shared key is in its bucket, so the keys of a batch can be looked up together.
             found = np.isin(key, np.asarray(batch.column("keys").flatten()))
