@@ -88,7 +88,7 @@ class _Numbers(dict):
         return number
 
 
-def _cut(batch: pa.RecordBatch, group_chars: int) -> Iterator[tuple[int, list, list[str]]]:
+def _cut(batches: Iterator[pa.RecordBatch], group_chars: int) -> Iterator[tuple[int, list, list[str]]]:
     """Runs of texts of about ``group_chars`` in all, with ids, under a hash of the rows. The cut
     depends on the rows alone, so a task that runs again gives the same names."""
     from xxhash import xxh3_64
@@ -101,14 +101,15 @@ def _cut(batch: pa.RecordBatch, group_chars: int) -> Iterator[tuple[int, list, l
         return name.intdigest() - (1 << 63), ids, texts
 
     ids, texts, size = [], [], 0
-    for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-        text = text.as_py()
-        if texts and size + len(text) > group_chars:
-            yield closed()
-            ids, texts, size = [], [], 0
-        ids.append(doc.as_py())
-        texts.append(text)
-        size += len(text)
+    for batch in batches:
+        for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+            text = text.as_py()
+            if texts and size + len(text) > group_chars:
+                yield closed()
+                ids, texts, size = [], [], 0
+            ids.append(doc.as_py())
+            texts.append(text)
+            size += len(text)
     if texts:
         yield closed()
 
@@ -156,38 +157,36 @@ def encode(
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = _splitter(pattern)
-        for batch in batches:
-            for group, _, texts in _cut(batch, group_chars):
-                found: dict[str, None] = {}
-                for text in texts:
-                    found.update(dict.fromkeys(find(text)))
-                yield pa.record_batch(
-                    [
-                        pa.array(list(found), pa.string()),
-                        pa.array(np.full(len(found), group, np.int64)),
-                        pa.array(np.arange(len(found), dtype=np.int32)),
-                    ],
-                    names=["word", "group", "number"],
-                )
+        for group, _, texts in _cut(batches, group_chars):
+            found: dict[str, None] = {}
+            for text in texts:
+                found.update(dict.fromkeys(find(text)))
+            yield pa.record_batch(
+                [
+                    pa.array(list(found), pa.string()),
+                    pa.array(np.full(len(found), group, np.int64)),
+                    pa.array(np.arange(len(found), dtype=np.int32)),
+                ],
+                names=["word", "group", "number"],
+            )
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, pack = _splitter(pattern), zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            for group, ids, texts in _cut(batch, group_chars):
-                words, numbers = _Numbers(), []
-                for text in texts:
-                    found = find(text)
-                    numbers.append(np.fromiter(map(words.__getitem__, found), np.uint32, len(found)))
-                yield pa.record_batch(
-                    [
-                        pa.array([group], pa.int64()),
-                        pa.array([len(words)], pa.int64()),
-                        pa.array([ids], pa.list_(id_arrow)),
-                        pa.array([[len(x) for x in numbers]], pa.list_(pa.int64())),
-                        pa.array([pack(_planes(np.concatenate(numbers)))], pa.binary()),
-                    ],
-                    names=["group", "n_words", "doc_ids", "lengths", "numbers"],
-                )
+        for group, ids, texts in _cut(batches, group_chars):
+            words, numbers = _Numbers(), []
+            for text in texts:
+                found = find(text)
+                numbers.append(np.fromiter(map(words.__getitem__, found), np.uint32, len(found)))
+            yield pa.record_batch(
+                [
+                    pa.array([group], pa.int64()),
+                    pa.array([len(words)], pa.int64()),
+                    pa.array([ids], pa.list_(id_arrow)),
+                    pa.array([[len(x) for x in numbers]], pa.list_(pa.int64())),
+                    pa.array([pack(_planes(np.concatenate(numbers)))], pa.binary()),
+                ],
+                names=["group", "n_words", "doc_ids", "lengths", "numbers"],
+            )
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = _encoding(ranks_path, pattern)._core_bpe.encode_single_piece

@@ -24,8 +24,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+# Texts are long: batches of the default number of rows would fill tens of MB on either side.
+ARROW_BYTES = "4m"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this library to the executors, once a context, for those who don't have it installed."""
+    """Before Python runs on executors: bound the bytes of a batch, and send this library there,
+    once a context, for those who don't have it installed."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     context = spark.sparkContext
     if getattr(context, "_meterlake_shipped", False):
         return
