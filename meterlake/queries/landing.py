@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from meterlake.plans.lakehouse import BUILDING, METER, WEATHER, LakeConfig
 from meterlake.queries.inputs import FIRST, INGESTED_AT
 from meterlake.queries.oracle import RUN_ID
 from meterlake.session import configure, scratch_dir
+from meterlake.sinks import files
 
 
 def _fields(**types: T.DataType) -> T.StructType:
@@ -67,6 +69,25 @@ def write_landing(df: DataFrame, path: str, parts: int | None = None) -> None:
     text.write.mode("append").option("header", True).csv(path)
 
 
+def land_as(df: DataFrame, path: str, name: str, suffix: str, days_old: int = 0) -> None:
+    """Add files called ``name-<number><suffix>`` that are so many days old; ``.gz`` ones are packed."""
+    spark = df.sparkSession
+    stage = f"{scratch_dir(spark)}/landing"
+    text = df.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    packed = "gzip" if suffix.endswith(".gz") else "none"
+    text.repartition(2).write.options(header=True, compression=packed).csv(stage)
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(to_path(path))
+    written = [n for n in files.names(spark, stage) if n.startswith("part-")]
+    moment = int(time.time() * 1000) - days_old * 86_400_000
+    for number, part in enumerate(written):
+        target = to_path(f"{path}/{name}-{number}{suffix}")
+        fs.rename(to_path(f"{stage}/{part}"), target)
+        fs.setTimes(target, moment, -1)
+    files.remove(spark, stage)
+
+
 def new_lake(spark: SparkSession, as_of: dt.date = FIRST, **settings) -> LakeConfig:
     """A fresh lake in the shared scratch folder."""
     configure(spark)

@@ -22,7 +22,7 @@ from meterlake.plans import dims, lakehouse, quality
 from meterlake.plans.lakehouse import BUILDING, METER, WEATHER
 from meterlake.queries import oracle
 from meterlake.queries.inputs import FIRST, INGESTED_AT, SECOND, Layers, portable
-from meterlake.queries.landing import SCHEMAS, new_lake, write_landing
+from meterlake.queries.landing import SCHEMAS, land_as, new_lake, write_landing
 from meterlake.queries.oracle import RUN_ID, sql
 from meterlake.session import materialize, scratch_dir
 from meterlake.sinks.snapshots import create_snapshot_if_missing, read_snapshot, refresh
@@ -320,11 +320,17 @@ _orphan_query("orphan_meters", "meter_type_key", 3, "dim_meter")
 
 @query(
     "dup_current",
-    sql("SELECT primary_use, site_id, count(*) AS copies FROM buildings GROUP BY 1, 2 HAVING count(*) > 1"),
+    sql(
+        """SELECT building_id, count(*) AS copies
+           FROM (SELECT building_id FROM buildings UNION ALL
+                 SELECT building_id FROM buildings WHERE building_id % 10 = 0) AS t
+           GROUP BY building_id HAVING count(*) > 1"""
+    ),
 )
 def _(q: Layers):
     current = q.versions().filter("is_current")
-    return checks.duplicates(current, ["primary_use", "site_id"])
+    twice = current.unionByName(current.filter("building_id % 10 = 0"))
+    return checks.duplicates(twice, ["building_id"])
 
 
 @query(
@@ -453,9 +459,10 @@ def _(q: Layers):
     return preview.select("event_id", "building_id", "meter", "meter_reading", "reading_hour")
 
 
-@query("preview", sql("SELECT least(count(*), 5) AS rows FROM silver_readings"))
+@query("preview", sql("SELECT temp_category, count(*) AS rows FROM clean_weather GROUP BY temp_category"))
 def _(q: Layers):
-    return reports.preview(q.readings(), 5).agg(F.count(F.lit(1)).alias("rows"))
+    """A preview of a table of five rows: all of it, in its order."""
+    return reports.preview(reports.category_counts(q.weather(), "temp_category"), 5)
 
 
 @query(
@@ -680,22 +687,18 @@ def _(q: Layers):
     return rows.agg(F.count(F.lit(1)).alias("rows")).select(F.inline(types), "rows")
 
 
-# Three files: one with an extra column in the middle and the order changed, two plain.
+# Three runs: a column more in the middle and another order, the plain columns, another new column.
 @query(
     "csv_schema_evolution",
     sql(
-        f"""SELECT {_READING}, {_text('timestamp')},
-                   CASE WHEN meter IN (0, 1) THEN meter_reading * 2 END AS doubled FROM readings"""
+        f"""SELECT {_READING}, {_text('timestamp')}, CASE WHEN meter < 2 THEN meter_reading * 2 END AS doubled,
+                   CASE WHEN meter > 2 THEN -meter_reading END AS negated FROM readings"""
     ),
 )
 def _(q: Layers):
     lake = new_lake(q.spark)
-    readings = q.raw("readings")
-    first, second = F.col("meter").isin(0, 1), ~F.col("meter").isin(0, 1)
-    landing = lake.landing(METER)
-    write_landing(readings.filter(second), f"{landing}/plain", parts=2)
-    _feed(lake, q.spark, METER)
-    wide = readings.filter(first).select(
+    readings, landing = q.raw("readings"), lake.landing(METER)
+    wide = readings.filter("meter < 2").select(
         "meter_reading",
         "building_id",
         (F.col("meter_reading") * 2).alias("doubled"),
@@ -703,9 +706,37 @@ def _(q: Layers):
         "meter",
         "event_id",
     )
-    write_landing(wide, f"{landing}/wide", parts=1)
-    rows = _feed(lake, q.spark, METER)
-    return rows.select("event_id", "building_id", "meter", "meter_reading", "timestamp", "doubled")
+    steps = {
+        "wide": wide,
+        "plain": readings.filter("meter = 2"),
+        "other": readings.filter("meter > 2").withColumn("negated", -F.col("meter_reading")),
+    }
+    for name, rows in steps.items():
+        write_landing(rows, f"{landing}/{name}", parts=2)
+        _feed(lake, q.spark, METER)
+    rows = bronze.read_bronze(q.spark, lake.table(f"bronze_{METER}"), lake.store(METER))
+    return rows.select("event_id", "building_id", "meter", "meter_reading", "timestamp", "doubled", "negated")
+
+
+@query(
+    "csv_all_files",
+    sql(
+        f"""SELECT path, {_READING}, {_text('timestamp')} FROM readings
+            CROSS JOIN (VALUES ('table'), ('stream')) AS t(path)"""
+    ),
+)
+def _(q: Layers):
+    """Files of any suffix, packed or not, one of them old, by both ways of ingestion."""
+    lake = new_lake(q.spark)
+    landing, readings = lake.landing(METER), q.raw("readings")
+    suffixes = {0: ".csv", 1: "", 2: ".CSV", 3: ".csv.gz", 4: ".txt"}
+    for meter, suffix in suffixes.items():
+        land_as(readings.filter(F.col("meter") == meter), landing, f"m{meter}", suffix, days_old=40 if meter == 1 else 0)
+    columns = ["event_id", "building_id", "meter", "meter_reading", "timestamp"]
+    table = _feed(lake, q.spark, METER, schema=SCHEMAS[METER]).select(F.lit("table").alias("path"), *columns)
+    stream_append(csv_stream(q.spark, landing, SCHEMAS[METER]), lake.table("raw"), lake.checkpoint("raw"))
+    streamed = q.spark.read.parquet(lake.table("raw")).select(F.lit("stream").alias("path"), *columns)
+    return table.unionByName(streamed)
 
 
 @query(
@@ -762,6 +793,37 @@ def _(q: Layers):
     )
 
 
+@query(
+    "stream_corrections",
+    sql(
+        """SELECT event_id, round(meter_reading + CASE WHEN event_id % 5 = 0 THEN 2 WHEN event_id % 3 = 0 THEN 1
+                                                       ELSE 0 END, 2) AS meter_reading FROM readings"""
+    ),
+)
+def _(q: Layers):
+    """Corrections in files whose names sort before those they correct: some land with them and
+    are newer, the others come in a later batch of the same ingestion time."""
+    lake = new_lake(q.spark)
+    readings, landing = q.raw("readings"), lake.landing(METER)
+
+    def corrected(every: int, by: int) -> DataFrame:
+        return readings.filter(F.col("event_id") % every == 0).withColumn("meter_reading", F.col("meter_reading") + by)
+
+    land_as(readings, landing, "z", ".csv", days_old=3)
+    land_as(corrected(3, 1), landing, "a", ".csv", days_old=2)
+    _feed(lake, q.spark, METER, schema=SCHEMAS[METER])
+    land_as(corrected(5, 2), landing, "0", ".csv", days_old=9)
+    _feed(lake, q.spark, METER, schema=SCHEMAS[METER])
+    silver_readings(
+        q.spark,
+        lake.table(f"bronze_{METER}"),
+        lake.store(METER),
+        lake.table("silver_readings"),
+        lake.checkpoint("silver_readings"),
+    )
+    return stored_table(q.spark, lake.table("silver_readings")).select("event_id", "meter_reading")
+
+
 @query("stream_weather", sql(f"SELECT {_WEATHER}, temp_category FROM clean_weather"))
 def _(q: Layers):
     lake = new_lake(q.spark)
@@ -777,7 +839,8 @@ def _(q: Layers):
         )
     rows = stored_table(q.spark, lake.table("silver_weather"))
     return rows.drop(
-        "ingestion_timestamp", "ingestion_date", "source_file_name", "batch_id"
+        *["ingestion_timestamp", "ingestion_date", "source_file_name", "batch_id"],
+        *["ingest_batch", "source_modified_at"],
     )
 
 
