@@ -41,9 +41,12 @@ def metric_checks(df: DataFrame, table: str, checks: dict[str, tuple[Column, Col
     return row.select(F.inline(F.array(*results)))
 
 
-def violations(predicate: str) -> tuple[Column, Column]:
-    """Rows that break a rule, given as the predicate of a bad row."""
+def violations(predicate: str, rows: str | None = None) -> tuple[Column, Column]:
+    """Rows that break a rule, given as the predicate of a bad row. ``rows`` names the column that
+    says how many rows each row stands for."""
     bad = count_where(predicate)
+    if rows:
+        bad = F.coalesce(F.sum(F.when(F.expr(predicate), F.col(rows))), F.lit(0))
     return bad, F.concat(F.lit("rows violating: "), bad.cast("string"))
 
 
@@ -58,10 +61,19 @@ def expected(measure: Column, wanted: int, label: str) -> tuple[Column, Column]:
     return F.abs(measure - wanted), note
 
 
+def month_mask(day: str) -> Column:
+    """The months of a date column as bits, the lowest one for null."""
+    return F.bit_or(F.coalesce(F.call_function("shiftleft", F.lit(1), F.month(day)), F.lit(1)))
+
+
+def months_in(masks: Column) -> Column:
+    """Distinct months of month masks put together; null is a month of its own."""
+    return F.coalesce(F.bit_count(F.bit_or(masks)), F.lit(0))
+
+
 def distinct_months(day: str) -> Column:
     """Distinct months of a date column as a bit mask; null is a value of its own."""
-    seen = F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), F.month(day))))
-    return F.coalesce(seen, F.lit(0)) + F.coalesce(F.bool_or(F.col(day).isNull()).cast("int"), F.lit(0))
+    return F.coalesce(F.bit_count(month_mask(day)), F.lit(0))
 
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -88,20 +100,22 @@ def unique_key(df: DataFrame, key: str, table: str, name: str) -> DataFrame:
     return metric_checks(counts, table, {name: (surplus, note)})
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+def orphans(fact: DataFrame, dim: DataFrame, key: str, rows: str | None = None) -> DataFrame:
     """Keys of the fact that the dimension lacks, with their rows; a null key is an orphan.
 
     The fact is reduced to one row per key before it meets the dimension, so a key with very
-    many rows costs no more than a rare one.
+    many rows costs no more than a rare one. ``rows`` names a column with numbers of rows.
     """
-    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    counts = fact.groupBy(key).agg((F.sum(rows) if rows else F.count(F.lit(1))).alias("rows"))
     return counts.join(dim.select(key), key, "left_anti")
 
 
-def resolves(fact: DataFrame, dim: DataFrame, key: str, table: str, name: str) -> DataFrame:
+def resolves(
+    fact: DataFrame, dim: DataFrame, key: str, table: str, name: str, rows: str | None = None
+) -> DataFrame:
     bad = F.coalesce(F.sum("rows"), F.lit(0))
     note = F.concat(F.lit(f"orphan {key}s="), bad.cast("string"))
-    return metric_checks(orphans(fact, dim, key), table, {name: (bad, note)})
+    return metric_checks(orphans(fact, dim, key, rows), table, {name: (bad, note)})
 
 
 def months_per_group(df: DataFrame, group: str, day: str) -> DataFrame:
