@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from meterlake.functions.numeric import count_where
 
 
-def run_report(df: DataFrame, **flags: str) -> DataFrame:
-    """Total rows and the rows meeting each predicate, in one pass: ``metric``, ``rows``."""
-    counts = {"total": F.count(F.lit(1)), **{name: count_where(p) for name, p in flags.items()}}
+def run_report(df: DataFrame, **flags: str | Column) -> DataFrame:
+    """Total rows and the rows meeting each predicate, in one pass: ``metric``, ``rows``. A
+    column instead of a predicate is a whole number of its own, given as an aggregate."""
+    measures = {n: p.cast("bigint") if isinstance(p, Column) else count_where(p) for n, p in flags.items()}
+    counts = {"total": F.count(F.lit(1)), **measures}
     row = df.agg(*[column.alias(name) for name, column in counts.items()])
     pairs = [F.struct(F.lit(name).alias("metric"), F.col(name).alias("rows")) for name in counts]
     return row.select(F.inline(F.array(*pairs)))

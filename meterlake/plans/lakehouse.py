@@ -265,10 +265,14 @@ def run_lakehouse(spark: SparkSession, cfg: LakeConfig) -> None:
 
 
 def lake_report(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
-    """Rows of every table and its flagged rows, one scan each: ``table_name, metric, rows``."""
+    """Rows of every table and its flagged rows, one scan each: ``table_name, metric, rows``.
+
+    ``ingestion_dates`` counts days and ``mean_completeness_pct`` is a rounded per cent.
+    """
+    landed = {"rescued": "_rescued_data IS NOT NULL", "ingestion_dates": F.countDistinct("ingestion_date")}
     tables = {
-        f"bronze_{METER}": (bronze_table(spark, cfg, METER), {"rescued": "_rescued_data IS NOT NULL"}),
-        f"bronze_{WEATHER}": (bronze_table(spark, cfg, WEATHER), {"rescued": "_rescued_data IS NOT NULL"}),
+        f"bronze_{METER}": (bronze_table(spark, cfg, METER), landed),
+        f"bronze_{WEATHER}": (bronze_table(spark, cfg, WEATHER), landed),
         f"bronze_{BUILDING}": (bronze_table(spark, cfg, BUILDING), {"current": "is_current"}),
     }
     flags = {
@@ -285,7 +289,10 @@ def lake_report(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
             "zero_readings": "is_zero_reading",
             "spikes": "is_spike",
         },
-        "fact_daily_building_summary": {"null_building_date_key": "building_date_key IS NULL"},
+        "fact_daily_building_summary": {
+            "null_building_date_key": "building_date_key IS NULL",
+            "mean_completeness_pct": F.round(F.avg("data_completeness_pct")),
+        },
     }
     for name, predicates in flags.items():
         tables[name] = (silver.stored_table(spark, cfg.table(name)), predicates)

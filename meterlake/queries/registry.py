@@ -916,6 +916,11 @@ def _(q: Layers):
             )
             for metric, rule in rules.items()
         )
+        + """
+UNION ALL SELECT 'bronze_meter_readings', 'ingestion_dates', 1
+UNION ALL SELECT 'bronze_weather_readings', 'ingestion_dates', 1
+UNION ALL SELECT 'fact_daily_building_summary', 'mean_completeness_pct',
+                 CAST(round(avg(data_completeness_pct)) AS BIGINT) FROM daily"""
     ),
 )
 def _(q: Layers):
