@@ -220,6 +220,21 @@ def test_large_groups_lose_no_link(spark, short):
     assert near(spark, rows, short=short) == Counter((d, n, c) for d, (n, c) in want.items())
 
 
+def test_no_link_between_a_text_and_its_prefix_is_lost(spark):
+    """Sketches of 85 to 140 shingles reach past the middle of the range of hashes."""
+    r = random.Random(11)
+    rows = []
+    for i in range(1500):
+        n = r.randint(85, 140)
+        words = [f"w{r.randrange(10**9)}" for _ in range(n + 4)]
+        part = min(n, -(-n * r.choice([75, 76, 77]) // 100))
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[: part + 4]))]
+    want = brute.linked(rows)
+    assert all(want[2 * i + 1][1] == 2 * i for i in range(1500))
+    got = {d: c for d, _, c in near(spark, rows)}
+    assert [d for d in got if got[d] != want[d][1]] == []
+
+
 def test_components_of_a_long_path(spark):
     scratch = Scratch(spark)
     order = list(range(200))
