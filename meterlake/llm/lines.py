@@ -11,9 +11,13 @@ from meterlake.llm.suffixes import kept_ranges
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
-def _windows(lines: Column, size: int) -> Column:
+def _windows(lines: Column, size: int, long_words: int | None = None) -> Column:
     """Of each window of ``size`` lines that hold a word: the lines' numbers and hashes, and the
-    least hash with its place (the last of equal ones), which is the window's fingerprint."""
+    least hash with its place (the last of equal ones), which is the window's fingerprint.
+
+    With ``long_words`` also a window of each single line of as many words, and one of all lines
+    of a text that has fewer than ``size``.
+    """
 
     def of(ls: Column) -> Column:
         return F.when(
@@ -31,18 +35,44 @@ def _windows(lines: Column, size: int) -> Column:
             ),
         )
 
-    numbered = F.transform(
-        lines,
-        lambda x, i: F.when(x.rlike(HAS_WORD), F.struct(i.alias("line"), F.xxhash64(x).alias("hash"))),
-    )
-    return let(F.filter(numbered, lambda x: x.isNotNull()), of)
+    def one(ls: Column) -> Column:
+        return F.struct(
+            F.transform(ls, lambda x: x["line"]).alias("lines"),
+            F.transform(ls, lambda x: x["hash"]).alias("hashes"),
+            F.array_min(F.transform(ls, lambda x: x["hash"])).alias("fingerprint"),
+        )
+
+    def with_single(ls: Column) -> Column:
+        # A text of one line is taken as a whole, so no window comes twice.
+        single = F.transform(F.filter(ls, lambda x: x["long"] & (F.size(ls) > 1)), lambda x: one(F.array(x)))
+        whole = F.when((F.size(ls) > 0) & (F.size(ls) < size), F.array(one(ls)))
+        parts = F.array(of(ls), single, whole)
+        return F.flatten(F.filter(parts, lambda p: p.isNotNull()))
+
+    def fields(x: Column, i: Column) -> Column:
+        known = [i.alias("line"), F.xxhash64(x).alias("hash")]
+        if long_words:
+            # So many words take so many characters at least.
+            enough = F.when(
+                F.length(x) >= 2 * long_words - 1, F.regexp_count(x, F.lit(HAS_WORD + "+")) >= long_words
+            )
+            known.append(F.coalesce(enough, F.lit(False)).alias("long"))
+        return F.struct(*known)
+
+    numbered = F.transform(lines, lambda x, i: F.when(x.rlike(HAS_WORD), fields(x, i)))
+    return let(F.filter(numbered, lambda x: x.isNotNull()), with_single if long_words else of)
 
 
 def repeated_lines(
-    docs: DataFrame, window: int = 2, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    window: int = 2,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    long_words: int | None = None,
 ) -> DataFrame:
     """``doc_id, tag, removed, n_removed``: runs of line numbers (``begin`` to before ``end``) that
-    repeat an earlier run of at least ``window`` lines.
+    repeat an earlier run of at least ``window`` lines. With ``long_words`` a single line of as many
+    words is a run too, and so are all lines of a text that has fewer than ``window``.
 
     Lines are what ``\\n`` parts; lines without a word are passed over and stay. Earlier means in
     a document of smaller id, or further up in the same one; what is earlier is judged on the
@@ -62,7 +92,7 @@ def repeated_lines(
         "doc_id IS NOT NULL AND text IS NOT NULL"
     )
     found = (
-        clean.select("doc_id", F.xxhash64("text").alias("tag"), _windows(lines, window).alias("w"))
+        clean.select("doc_id", F.xxhash64("text").alias("tag"), _windows(lines, window, long_words).alias("w"))
         .select("doc_id", "tag", F.inline("w"))
     )
     often = (
@@ -95,12 +125,16 @@ def repeated_lines(
 
 
 def remove_repeated_lines(
-    docs: DataFrame, window: int = 2, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    window: int = 2,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    long_words: int | None = None,
 ) -> DataFrame:
     """The same rows and columns, texts without their repeated runs, and columns ``n_removed``
     and ``n_runs``. A null text stays null, an empty table stays empty; repeated rows come out as
     often as they went in. A column of the input that has the name of a new one is replaced."""
-    runs = repeated_lines(docs, window, doc_id, text).withColumnsRenamed(
+    runs = repeated_lines(docs, window, doc_id, text, long_words).withColumnsRenamed(
         {"doc_id": "__id", "tag": "__tag", "removed": "__removed", "n_removed": "__n"}
     )
     joined = docs.withColumn("__own", F.xxhash64(text)).join(

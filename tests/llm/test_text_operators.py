@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from meterlake.llm import bpe, chat, language, lines, nearest, neardup, packing, quality, suffixes, tokens
 from meterlake.llm.common import Scratch, running_sums
 from meterlake.llm.components import components
@@ -137,6 +138,39 @@ def test_runs_of_lines(spark):
     assert lines.remove_repeated_lines(frame(spark, [])).count() == 0
 
 
+def test_long_lines_and_short_texts_are_runs(spark):
+    long_, under = " ".join(f"w{i}" for i in range(50)), " ".join(f"w{i}" for i in range(49))
+    rows = [
+        (1, f"own\n{long_}\nelse"),
+        (2, long_),
+        (3, f"x\n{long_}\ny\n{long_}"),
+        (4, f"p\n{under}\nq"),
+        (5, under),
+        (6, f"r\n{under}\ns"),
+        (7, under),
+        (8, ""),
+        (9, None),
+        (None, long_),
+        (10, " \n "),
+    ]
+    out = lines.remove_repeated_lines(clashing(frame(spark, rows)), long_words=50)
+    got = {r.doc_id: (r.text, r.n_removed, r.n_runs) for r in out.collect()}
+    want = {d: (t, 0, 0) for d, t in rows} | {2: ("", 1, 1), 3: ("x\ny", 2, 2), 7: ("", 1, 1)}
+    assert got == want
+    assert lines.remove_repeated_lines(frame(spark, []), long_words=50).count() == 0
+    three = frame(spark, [(1, "a b\nc d"), (2, "a b\nc d"), (3, "c d\na b"), (4, "z\na b\nc d")])
+    got = {r.doc_id: r.text for r in lines.remove_repeated_lines(three, 3, long_words=50).collect()}
+    assert got == {1: "a b\nc d", 2: "", 3: "c d\na b", 4: "z\na b\nc d"}
+
+
+def test_pipeline_takes_long_lines(spark):
+    """A one-line text that copies an earlier one, and a long line between unique ones."""
+    long_ = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long_), (2, long_), (3, f"x\n{long_}\ny"), (4, "z")]
+    out = corpus_pipeline.line_dedup(spark, frame(spark, rows), "")
+    assert {r.doc_id: r.text for r in out.collect()} == {1: long_, 2: "", 3: "x\ny", 4: "z"}
+
+
 # Repeated bytes
 
 def spans_of(df):
