@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import bpe, chat, language, lines, neardup, nearest, packing, quality, suffixes, tokens
+from meterlake.llm import (
+    bpe,
+    chat,
+    language,
+    lines,
+    neardup,
+    nearest,
+    packing,
+    pages,
+    quality,
+    repair,
+    spelling,
+    suffixes,
+    tokens,
+)
 from meterlake.llm.common import documents, let
 from meterlake.session import configure
 
@@ -135,6 +149,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    configure(spark)
+    return pages.extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged, and the cheapest edits that repair it."""
+    configure(spark)
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair.repair(repair.damaged(turns))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with the more frequent word that it is a variant of."""
+    configure(spark)
+    return spelling.variants(spelling.damaged_words(documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -146,4 +179,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hilbert_nearest": op8_hilbert_nearest,
     "op9_token_counts": op9_token_counts,
     "op10_packing": op10_packing,
+    "op11_html_extraction": op11_html_extraction,
+    "op12_structure_repair": op12_structure_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }
