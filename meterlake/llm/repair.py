@@ -77,14 +77,15 @@ def damaged(turns: DataFrame) -> DataFrame:
     )
 
 
-def _faults(rows: DataFrame) -> DataFrame:
+def _faults(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """The rows with ``fault``: blank, duplicate (but for equal rows of one turn), truncated, or sound."""
     nulls_first = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn"))
     digest = F.sha2(F.concat_ws("\n", F.hex("role"), "text"), 256)
     rows = rows.withColumn("digest", F.when(~F.col("gone"), digest)).withColumn("place", nulls_first)
-    # Only what was said twice is looked up again; equal rows are counted before the shuffle.
-    again = (
-        rows.where("not gone")
+    # Only what was said twice is looked up again; equal rows are counted before the shuffle. The
+    # second row of a pair needs no look. Stored, so that its size is known before the texts move.
+    again = scratch.store(
+        rows.where("not gone and copy = 0")
         .groupBy(F.col("conv_id").alias("conv"), F.col("digest").alias("said"))
         .agg(F.min("place").alias("first"), F.count("*").alias("n"))
         .where("n > 1")
@@ -558,7 +559,9 @@ def repair(turns: DataFrame, max_rows: int = 512, max_chars: int = 1 << 20) -> D
     ship(spark)
     scratch = Scratch(spark)
     conv = turns.schema["conv_id"].dataType.simpleString()
-    rows = _faults(turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text", "copy", "gone"))
+    rows = _faults(
+        turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text", "copy", "gone"), scratch
+    )
     segments = _numbered(scratch.store(_segments(rows, max_rows, max_chars)))
     found = _single(segments.where("n_segments = 1"), conv)
     many = scratch.store(segments.where("n_segments > 1"))
