@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from decimal import ROUND_HALF_UP, Decimal
 from functools import partial
 
 from pyspark import inheritable_thread_target
@@ -13,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from meterlake.operators.checks import as_log, require_passed, union_all, write_check_log
+from meterlake.operators.checks import as_log, require_passed, write_check_log
 from meterlake.operators.enrich import BASE_YEAR
 from meterlake.operators.merge import upsert
-from meterlake.operators.reports import run_report
 from meterlake.plans import dims, quality
 from meterlake.session import configure
+from meterlake.sinks.counters import TOTAL, Aggregate, load_counters, summed
 from meterlake.sinks.snapshots import (
     create_snapshot_if_missing,
     read_snapshot,
@@ -26,6 +27,8 @@ from meterlake.sinks.snapshots import (
     snapshot_exists,
 )
 from meterlake.streaming import bronze, gold, silver
+from meterlake.streaming.weather import silver_weather
+from meterlake.streaming.runners import read_journal
 
 
 @dataclass(frozen=True)
@@ -49,6 +52,8 @@ class LakeConfig:
     fail_fast: bool = False
     max_files: int = bronze.MAX_FILES
     max_table_files: int | None = None
+    archive: str | None = None
+    on_misfit: str = "rescue"
     schemas: dict[str, StructType] = field(default_factory=dict)
 
     def landing(self, feed: str) -> str:
@@ -66,6 +71,27 @@ class LakeConfig:
 
 METER, WEATHER, BUILDING = "meter_readings", "weather_readings", "building_metadata"
 
+# What is counted as each table is written, for every date of it.
+FLAGS = {
+    "silver_readings": {"zero_readings": "is_zero_reading", "spikes": "is_spike"},
+    "silver_weather": {"null_air_temperature": "air_temperature IS NULL"},
+    "silver_enriched_readings": {
+        "unknown_buildings": "is_building_unknown",
+        "null_energy_per_sqft": "energy_per_sqft IS NULL",
+        "spikes": "is_spike",
+    },
+    "fact_meter_readings": {
+        "null_building_key": "building_key IS NULL",
+        "null_date_key": "date_key IS NULL",
+        "zero_readings": "is_zero_reading",
+        "spikes": "is_spike",
+    },
+    "fact_daily_building_summary": {
+        "null_building_date_key": "building_date_key IS NULL",
+        "completeness": Aggregate("sum(CAST(data_completeness_pct AS DECIMAL(28,2)))"),
+    },
+}
+
 
 def _together(spark: SparkSession, *steps: Callable[[], None]) -> None:
     """Start steps that do not depend on each other at once, so small ones do not leave the
@@ -86,13 +112,21 @@ def _record(spark: SparkSession, cfg: LakeConfig, layer: str, results: DataFrame
 
 def run_bronze(spark: SparkSession, cfg: LakeConfig) -> None:
     configure(spark)
-    shared = {"run_id": cfg.run_id, "ingested_at": cfg.ingested_at, "max_files": cfg.max_files}
+    shared = {
+        "run_id": cfg.run_id,
+        "ingested_at": cfg.ingested_at,
+        "max_files": cfg.max_files,
+        "on_misfit": cfg.on_misfit,
+    }
+
+    def archive(feed: str) -> str | None:
+        return cfg.archive and f"{cfg.archive}/{feed}"
 
     def places(feed: str) -> list[str]:
         return [cfg.landing(feed), cfg.table(f"bronze_{feed}"), cfg.store(feed), cfg.checkpoint(f"bronze_{feed}")]
 
     def append_feed(feed: str) -> None:
-        bronze.ingest_csv(spark, *places(feed), schema=cfg.schemas.get(feed), **shared)
+        bronze.ingest_csv(spark, *places(feed), schema=cfg.schemas.get(feed), archive=archive(feed), **shared)
 
     def version_buildings() -> None:
         bronze.ingest_versions(
@@ -102,6 +136,7 @@ def run_bronze(spark: SparkSession, cfg: LakeConfig) -> None:
             null_safe=cfg.null_safe,
             on_duplicate=cfg.on_duplicate,
             schema=cfg.schemas.get(BUILDING),
+            archive=archive(BUILDING),
             **shared,
         )
 
@@ -133,10 +168,11 @@ def run_silver(spark: SparkSession, cfg: LakeConfig) -> None:
             cfg.spike_factor,
             cfg.window_days,
             cfg.max_table_files,
+            FLAGS["silver_readings"],
         )
 
     def weather() -> None:
-        silver.silver_weather(
+        silver_weather(
             spark,
             cfg.table(f"bronze_{WEATHER}"),
             cfg.store(WEATHER),
@@ -144,6 +180,7 @@ def run_silver(spark: SparkSession, cfg: LakeConfig) -> None:
             cfg.checkpoint("silver_weather"),
             cfg.strict,
             max_files=cfg.max_table_files,
+            flags=FLAGS["silver_weather"],
         )
 
     _together(spark, readings, weather)
@@ -156,6 +193,7 @@ def run_silver(spark: SparkSession, cfg: LakeConfig) -> None:
         cfg.checkpoint("silver_enriched"),
         cfg.base_year,
         cfg.max_table_files,
+        FLAGS["silver_enriched_readings"],
     )
 
 
@@ -230,6 +268,7 @@ def run_facts(spark: SparkSession, cfg: LakeConfig) -> None:
         cfg.checkpoint("fact_meter_readings"),
         cfg.run_id,
         cfg.max_table_files,
+        FLAGS["fact_meter_readings"],
     )
     gold.gold_fact_daily(
         spark,
@@ -238,6 +277,7 @@ def run_facts(spark: SparkSession, cfg: LakeConfig) -> None:
         cfg.table("fact_daily_building_summary"),
         cfg.checkpoint("fact_daily_building_summary"),
         cfg.max_table_files,
+        FLAGS["fact_daily_building_summary"],
     )
 
 
@@ -264,43 +304,63 @@ def run_lakehouse(spark: SparkSession, cfg: LakeConfig) -> None:
     check_gold(spark, cfg)
 
 
+def _table_counters(spark: SparkSession, cfg: LakeConfig, name: str) -> dict[str, int]:
+    """What a table's writes counted, over all its parts."""
+    parts = load_counters(spark, cfg.table(name))
+    flags = {
+        f"bronze_{METER}": bronze.LANDED,
+        f"bronze_{WEATHER}": bronze.LANDED,
+        f"bronze_{BUILDING}": bronze.CURRENT,
+        **FLAGS,
+    }.get(name, {})
+    counts = summed(parts, [TOTAL, *[flag for flag, rule in flags.items() if not isinstance(rule, Aggregate)]])
+    if "dates" in flags:
+        counts["ingestion_dates"] = len({day for part in parts.values() for day in part["dates"]})
+    if "completeness" in flags:
+        # Sums of decimals come as texts; a table without rows has no mean.
+        total = sum(Decimal(part["completeness"] or 0) for part in parts.values())
+        rows = counts[TOTAL]
+        mean = (total / rows).quantize(Decimal(1), ROUND_HALF_UP) if rows else None
+        counts["mean_completeness_pct"] = None if mean is None else int(mean)
+    return counts
+
+
+REPORTED = [
+    *[f"bronze_{feed}" for feed in (METER, WEATHER, BUILDING)],
+    "silver_readings",
+    "silver_weather",
+    "silver_enriched_readings",
+    "fact_meter_readings",
+    "fact_daily_building_summary",
+    *DIMENSIONS,
+]
+
+
 def lake_report(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
-    """Rows of every table and its flagged rows, one scan each: ``table_name, metric, rows``.
+    """Rows of every table and its flagged rows: ``table_name, metric, rows``.
 
+    The numbers were counted while the tables were written, so no table is read.
     ``ingestion_dates`` counts days and ``mean_completeness_pct`` is a rounded per cent.
     """
-    landed = {"rescued": "_rescued_data IS NOT NULL", "ingestion_dates": F.countDistinct("ingestion_date")}
-    tables = {
-        f"bronze_{METER}": (bronze_table(spark, cfg, METER), landed),
-        f"bronze_{WEATHER}": (bronze_table(spark, cfg, WEATHER), landed),
-        f"bronze_{BUILDING}": (bronze_table(spark, cfg, BUILDING), {"current": "is_current"}),
-    }
-    flags = {
-        "silver_readings": {"zero_readings": "is_zero_reading", "spikes": "is_spike"},
-        "silver_weather": {"null_air_temperature": "air_temperature IS NULL"},
-        "silver_enriched_readings": {
-            "unknown_buildings": "is_building_unknown",
-            "null_energy_per_sqft": "energy_per_sqft IS NULL",
-            "spikes": "is_spike",
-        },
-        "fact_meter_readings": {
-            "null_building_key": "building_key IS NULL",
-            "null_date_key": "date_key IS NULL",
-            "zero_readings": "is_zero_reading",
-            "spikes": "is_spike",
-        },
-        "fact_daily_building_summary": {
-            "null_building_date_key": "building_date_key IS NULL",
-            "mean_completeness_pct": F.round(F.avg("data_completeness_pct")),
-        },
-    }
-    for name, predicates in flags.items():
-        tables[name] = (silver.stored_table(spark, cfg.table(name)), predicates)
-    for name in DIMENSIONS:
-        tables[name] = (read_snapshot(spark, cfg.table(name)), {})
-    return union_all(
-        [
-            run_report(df, **predicates).select(F.lit(name).alias("table_name"), "metric", "rows")
-            for name, (df, predicates) in tables.items()
-        ]
-    )
+    rows = [
+        (name, metric, count)
+        for name in REPORTED
+        for metric, count in _table_counters(spark, cfg, name).items()
+    ]
+    return spark.createDataFrame(rows, "table_name string, metric string, rows long")
+
+
+STREAMS = [
+    *[f"bronze_{feed}" for feed in (METER, WEATHER, BUILDING)],
+    "silver_readings",
+    "silver_weather",
+    "silver_enriched",
+    "fact_meter_readings",
+    "fact_daily_building_summary",
+]
+
+
+def batch_journal(spark: SparkSession, cfg: LakeConfig) -> DataFrame:
+    """Every batch of every stream once: ``stream, batch_id, rows, seconds``; rows are those written."""
+    rows = [(name, *entry) for name in STREAMS for entry in read_journal(spark, cfg.checkpoint(name))]
+    return spark.createDataFrame(rows, "stream string, batch_id long, rows long, seconds double")

@@ -31,7 +31,8 @@ from meterlake.sources.schemas import infer_or_load_schema
 from meterlake.sources.streams import csv_stream
 from meterlake.streaming import bronze
 from meterlake.streaming.runners import stream_append
-from meterlake.streaming.silver import silver_readings, silver_weather, stored_table
+from meterlake.streaming.silver import silver_readings, stored_table
+from meterlake.streaming.weather import silver_weather
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

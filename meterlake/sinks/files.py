@@ -28,6 +28,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a place that is not there yet, making its parents."""
+    fs, to = _open(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(_open(spark, source)[1], to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, target = _open(spark, path)
     if not fs.exists(target):

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.sinks import files
+from meterlake.sinks.counters import Flags, Watch, save_counters
 
 _PREFIX = "v="
 
@@ -35,11 +36,28 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{_PREFIX}{complete[-1]}")
 
 
-def refresh(df: DataFrame, path: str, keep: int = 2) -> None:
-    """Replace the table's content; the last ``keep`` contents stay for running readers."""
+def refresh(df: DataFrame, path: str, keep: int = 2, flags: Flags | None = None) -> None:
+    """Replace the table's content; the last ``keep`` contents stay for running readers.
+
+    The rows, and those that meet each of ``flags``, are counted as they are written.
+    """
     spark = df.sparkSession
     version = max(_versions(spark, path), default=0) + 1
-    df.write.mode("errorifexists").parquet(f"{path}/{_PREFIX}{version}")
+    watch = Watch(flags)
+    watch.on(df).write.mode("errorifexists").parquet(f"{path}/{_PREFIX}{version}")
+    save_counters(spark, path, {"all": watch.counts}, keep_others=False)
+    for old in _complete(spark, path)[:-keep]:
+        files.remove(spark, f"{path}/{_PREFIX}{old}")
+
+
+def publish(spark: SparkSession, staged: str, path: str, keep: int = 2) -> None:
+    """Make a finished, staged folder the table's newest content, by moving it.
+
+    Called again after it has moved, it changes nothing.
+    """
+    if files.exists(spark, f"{staged}/_SUCCESS"):
+        version = max(_versions(spark, path), default=0) + 1
+        files.move(spark, staged, f"{path}/{_PREFIX}{version}")
     for old in _complete(spark, path)[:-keep]:
         files.remove(spark, f"{path}/{_PREFIX}{old}")
 

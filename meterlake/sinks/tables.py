@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from meterlake.sinks import files
+from meterlake.sinks.counters import Watch
 
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -35,15 +36,19 @@ def read_partitions(
     return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
-def _layout(df: DataFrame, partition_by: str | None):
+def _watched(df: DataFrame, watch: Watch | None) -> DataFrame:
+    return watch.on(df) if watch else df
+
+
+def _layout(df: DataFrame, partition_by: str | None, watch: Watch | None = None):
     """Gather each partition's rows into well-sized files.
 
     REBALANCE is re-planned at run time: a small partition becomes one file and a huge one
     is split over many tasks, so one hot date neither floods a task nor leaves crumbs.
     """
     if partition_by is None:
-        return df.write
-    return df.hint("rebalance", partition_by).write.partitionBy(partition_by)
+        return _watched(df, watch).write
+    return _watched(df.hint("rebalance", partition_by), watch).write.partitionBy(partition_by)
 
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -56,18 +61,23 @@ def create_if_missing(df: DataFrame, path: str) -> None:
     df.write.mode("ignore").parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: str, gather: bool = True) -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, partition_by: str, gather: bool = True, watch: Watch | None = None
+) -> None:
     """Replace exactly the partitions that occur in ``df``; repeating it changes nothing.
 
     Without ``gather`` tasks write what they hold, which saves a shuffle where all rows are of
     one partition. ``df`` must not read ``path``; see :func:`restate_partitions` for that.
+    ``watch`` counts the rows as they are written.
     """
-    layout = _layout(df, partition_by) if gather else df.write.partitionBy(partition_by)
+    layout = _layout(df, partition_by, watch) if gather else _watched(df, watch).write.partitionBy(partition_by)
     writer = layout.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
-def restate_partitions(df: DataFrame, path: str, partition_by: str, stage: str) -> None:
+def restate_partitions(
+    df: DataFrame, path: str, partition_by: str, stage: str, watch: Watch | None = None
+) -> None:
     """Replace partitions of ``path`` with rows that were computed from ``path`` itself.
 
     The rows are first written in full to ``stage``. A failure while partitions are being
@@ -77,5 +87,5 @@ def restate_partitions(df: DataFrame, path: str, partition_by: str, stage: str)
     spark = df.sparkSession
     if not files.exists(spark, f"{stage}/_SUCCESS"):
         df.write.mode("overwrite").parquet(stage)
-    overwrite_partitions(spark.read.schema(df.schema).parquet(stage), path, partition_by)
+    overwrite_partitions(spark.read.schema(df.schema).parquet(stage), path, partition_by, watch=watch)
     files.remove(spark, stage)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DateType,
@@ -50,6 +51,41 @@ def evolve_schema(stored: StructType | None, seen: StructType) -> StructType:
     return StructType(fields + [f for f in seen.fields if f.name.lower() not in known])
 
 
+def widen_schema(stored: StructType | None, seen: StructType) -> StructType:
+    """``evolve_schema``, with the type of a column that both have grown to hold both."""
+    types = {f.name.lower(): f.dataType for f in seen.fields}
+    fields = [
+        StructField(f.name, common_type(f.dataType, types.get(f.name.lower(), f.dataType)), True)
+        for f in (stored.fields if stored else [])
+    ]
+    return evolve_schema(StructType(fields), seen)
+
+
+def wider_types(stored: DataType) -> list[DataType]:
+    """A number's type and the types it may grow to, narrowest first; other types stay."""
+    return _WIDER[_WIDER.index(stored) :] if stored in _WIDER else [stored]
+
+
+# What Spark reads from a file of the first type under a schema of the second.
+_PROMOTED = {(IntegerType(), LongType()), (IntegerType(), DoubleType())}
+
+
+def promoted(stored: DataType, wanted: DataType) -> bool:
+    """Whether files of a type can be read as another one without being written again."""
+    return stored == wanted or (stored, wanted) in _PROMOTED
+
+
+def cast_to(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with the columns of ``schema`` only, in its types; a column that is missing is null."""
+    have = {c.lower(): c for c in df.columns}
+    return df.select(
+        *[
+            (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
 def load_schema(spark: SparkSession, store: str) -> StructType | None:
     text = files.read_text(spark, store)
     return None if text is None else StructType.fromJson(json.loads(text))

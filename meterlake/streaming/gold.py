@@ -8,26 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.plans.facts import fact_daily_summary, fact_meter_readings
 from meterlake.sinks.snapshots import read_snapshot
-from meterlake.sinks.tables import overwrite_partitions
+from meterlake.sinks.counters import Flags
 from meterlake.streaming.runners import stream_apply
 from meterlake.streaming.silver import (
     READING_DATE,
-    grow_table_schema,
+    replace_dates,
     stored_dates,
     stored_stream,
     touched_dates,
 )
 
 
-def _follow_dates(spark: SparkSession, source: str, target: str, build, checkpoint: str, max_files) -> None:
+def _follow_dates(
+    spark: SparkSession, source: str, target: str, build, checkpoint: str, max_files, flags: Flags | None
+) -> None:
     """Rebuild the target's dates that changed in the source, from all source rows of those dates."""
 
-    def rebuild(batch: DataFrame, _: int) -> None:
+    def rebuild(batch: DataFrame, _: int) -> dict:
         dates: set[dt.date | None] = touched_dates(batch, READING_DATE)
         rows = stored_dates(spark, source, READING_DATE, dates)
-        result = build(rows)
-        grow_table_schema(spark, target, result.schema)
-        overwrite_partitions(result, target, READING_DATE)
+        return replace_dates(build(rows), target, READING_DATE, dates, flags)
 
     stream = stored_stream(spark, source, max_files).select(READING_DATE)
     stream_apply(stream, rebuild, checkpoint)
@@ -41,6 +41,7 @@ def gold_fact_readings(
     checkpoint: str,
     run_id: str,
     max_files: int | None = None,
+    flags: Flags | None = None,
 ) -> None:
     """``dims`` holds the snapshot paths of dim_date, dim_building, dim_site, dim_meter_type
     and dim_time_of_day."""
@@ -49,7 +50,7 @@ def gold_fact_readings(
         names = ("dim_date", "dim_building", "dim_site", "dim_meter_type", "dim_time_of_day")
         return fact_meter_readings(rows, *[read_snapshot(spark, dims[n]) for n in names], run_id)
 
-    _follow_dates(spark, enriched, target, build, checkpoint, max_files)
+    _follow_dates(spark, enriched, target, build, checkpoint, max_files, flags)
 
 
 def gold_fact_daily(
@@ -59,8 +60,9 @@ def gold_fact_daily(
     target: str,
     checkpoint: str,
     max_files: int | None = None,
+    flags: Flags | None = None,
 ) -> None:
     def build(rows: DataFrame) -> DataFrame:
         return fact_daily_summary(rows, read_snapshot(spark, dim_building))
 
-    _follow_dates(spark, fact, target, build, checkpoint, max_files)
+    _follow_dates(spark, fact, target, build, checkpoint, max_files, flags)

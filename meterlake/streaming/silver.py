@@ -9,12 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from meterlake.functions.calendar import convert
 from meterlake.operators.dedupe import latest_by
 from meterlake.operators.enrich import BASE_YEAR, enrich_readings
 from meterlake.operators.readings import READING_GRAIN, detect_spikes, transform_readings
-from meterlake.operators.weather import clean_weather
 from meterlake.sinks import files
+from meterlake.sinks.counters import Flags, Watch, count_parts, save_counters
 from meterlake.sinks.snapshots import read_snapshot
 from meterlake.sinks.tables import (
     overwrite_partitions,
@@ -23,9 +22,9 @@ from meterlake.sinks.tables import (
     table_exists,
 )
 from meterlake.sources.csv_landing import SOURCE_FILE, SOURCE_TIME
-from meterlake.sources.schemas import evolve_schema, load_schema, save_schema
+from meterlake.sources.schemas import cast_to, load_schema, promoted, save_schema, widen_schema
 from meterlake.sources.streams import table_stream
-from meterlake.streaming.bronze import BATCH, INGEST, bronze_schema
+from meterlake.streaming.bronze import BATCH, bronze_stream, read_bronze_batch
 from meterlake.streaming.runners import stream_apply
 
 READING_DATE, WEATHER_DATE = "reading_date", "weather_date"
@@ -46,10 +45,21 @@ def touched_dates(batch: DataFrame, column: str) -> set[dt.date | None]:
 
 
 def grow_table_schema(spark: SparkSession, table: str, schema: StructType) -> StructType:
-    """Remember every column a table ever had, next to the table."""
+    """Remember every column a table ever had, in a type that holds all its values, next to the table.
+
+    Files of a type that Spark promotes while reading stay as they are. Growing by more than that
+    (a long to a double, anything to text) takes a table written anew: such a batch fails
+    before it has changed anything.
+    """
     store = f"{table}.schema"
     known = load_schema(spark, store)
-    grown = evolve_schema(known, schema)
+    grown = widen_schema(known, schema)
+    for before in known.fields if known else []:
+        if not promoted(before.dataType, grown[before.name].dataType) and table_exists(spark, table):
+            raise ValueError(
+                f"{table}: {before.name} is stored as {before.dataType.simpleString()}, "
+                f"cannot take in {grown[before.name].dataType.simpleString()}"
+            )
     if grown != known:
         save_schema(spark, store, grown)
     return grown
@@ -71,6 +81,25 @@ def stored_stream(spark: SparkSession, table: str, max_files: int | None = None)
     return table_stream(spark, table, load_schema(spark, f"{table}.schema"), max_files)
 
 
+def note_dates(
+    spark: SparkSession, target: str, column: str, dates: Iterable[dt.date | None], flags: Flags | None
+) -> None:
+    """Keep the counters of replaced dates, which are the only ones read."""
+    if dates:
+        save_counters(spark, target, count_parts(stored_dates(spark, target, column, dates), column, flags))
+
+
+def replace_dates(
+    result: DataFrame, target: str, column: str, dates: Iterable[dt.date | None], flags: Flags | None
+) -> dict:
+    """Replace dates of a table with rows that do not come from it, and count them."""
+    spark, watch = result.sparkSession, Watch(flags)
+    grow_table_schema(spark, target, result.schema)
+    overwrite_partitions(result, target, column, watch=watch)
+    note_dates(spark, target, column, dates, flags)
+    return watch.counts
+
+
 def silver_readings(
     spark: SparkSession,
     bronze: str,
@@ -81,6 +110,7 @@ def silver_readings(
     factor: float = 5,
     window_days: int = 7,
     max_files: int | None = None,
+    flags: Flags | None = None,
 ) -> None:
     """Clean new readings and restate every date whose rolling mean they can change.
 
@@ -89,8 +119,8 @@ def silver_readings(
     ingested row of a building, meter and time wins, and the dates from d on are replaced.
     """
 
-    def restate(batch: DataFrame, batch_id: int) -> None:
-        incoming = transform_readings(batch.drop(INGEST), strict)
+    def restate(batch: DataFrame, batch_id: int) -> dict:
+        incoming = transform_readings(read_bronze_batch(spark, bronze, store, batch), strict)
         touched = touched_dates(incoming, READING_DATE)
         days = [d for d in touched if d is not None]
         window = range(window_days + 1)
@@ -113,70 +143,13 @@ def silver_readings(
         rows = spark.read.schema(rows.schema).parquet(f"{stage}/rows")
         result = detect_spikes(rows, factor, window_days).filter(on_dates(READING_DATE, changed))
         grow_table_schema(spark, target, result.schema)
-        restate_partitions(result, target, READING_DATE, f"{stage}/dates")
-        files.remove(spark, stage)
-
-    stream = table_stream(spark, bronze, bronze_schema(spark, store), max_files)
-    stream_apply(stream, restate, checkpoint)
-
-
-def silver_weather(
-    spark: SparkSession,
-    bronze: str,
-    store: str,
-    target: str,
-    checkpoint: str,
-    strict: bool = True,
-    max_files: int | None = None,
-) -> None:
-    """Clean the weather of the sites that have new observations, and replace the dates that changed.
-
-    A late value can move its site's median and thereby any date of the site, but no other
-    site's. The site's rows are cleaned once, into a stage; a date is written again only if the
-    rows of a touched site differ there, by one hash a site and date, since a rewritten date is
-    work for everything downstream. Other sites' rows of such a date are taken over as they are.
-    """
-
-    def restate(batch: DataFrame, batch_id: int) -> None:
-        everything = spark.read.schema(bronze_schema(spark, store)).parquet(bronze).drop(INGEST)
-        site = convert(F.col("site_id"), "int", strict)
-        sites = batch.select(site.alias("_site")).distinct()
-        rows = everything.join(sites, site.eqNullSafe(F.col("_site")), "left_semi")
-        cleaned = clean_weather(latest_by(rows, ["site_id", "timestamp"], NEWEST), strict)
-        stage = f"{checkpoint}/stage/{batch_id}"
-        cleaned.write.mode("overwrite").parquet(f"{stage}/cleaned")
-        new = result = spark.read.schema(cleaned.schema).parquet(f"{stage}/cleaned")
-        if table_exists(spark, target):
-            known = evolve_schema(load_schema(spark, f"{target}.schema"), new.schema)
-            old = spark.read.schema(known).parquet(target)
-            of_sites = old.join(sites, F.col("site_id").eqNullSafe(F.col("_site")), "left_semi")
-            dates = _differing_dates(new, of_sites)
-            others = stored_dates(spark, target, WEATHER_DATE, dates).join(
-                sites, F.col("site_id").eqNullSafe(F.col("_site")), "left_anti"
-            )
-            result = new.filter(on_dates(WEATHER_DATE, dates)).unionByName(others, allowMissingColumns=True)
-        grow_table_schema(spark, target, result.schema)
-        restate_partitions(result, target, WEATHER_DATE, f"{stage}/dates")
+        watch = Watch(flags)
+        restate_partitions(result, target, READING_DATE, f"{stage}/dates", watch)
+        note_dates(spark, target, READING_DATE, changed, flags)
         files.remove(spark, stage)
+        return watch.counts
 
-    stream = table_stream(spark, bronze, bronze_schema(spark, store), max_files)
-    stream_apply(stream, restate, checkpoint)
-
-
-def _differing_dates(new: DataFrame, old: DataFrame) -> set[dt.date | None]:
-    """Dates on which a site's rows are not the same in both, by count and sum of row hashes."""
-
-    def marks(df: DataFrame, name: str) -> DataFrame:
-        columns = sorted(c for c in new.columns if c in old.columns)
-        mark = F.xxhash64(F.struct(*columns)).cast("decimal(38,0)")
-        keys = [F.col("site_id").alias("s"), F.col(WEATHER_DATE).alias("d")]
-        return df.groupBy(*keys).agg(F.struct(F.count("*"), F.sum(mark)).alias(name))
-
-    a, b = marks(new, "a"), marks(old, "b").withColumnsRenamed({"s": "s2", "d": "d2"})
-    same_place = F.col("s").eqNullSafe(F.col("s2")) & F.col("d").eqNullSafe(F.col("d2"))
-    compared = a.join(b, same_place, "full_outer").where(~F.col("a").eqNullSafe(F.col("b")))
-    date = F.when(F.col("a").isNotNull(), F.col("d")).otherwise(F.col("d2"))
-    return {row[0] for row in compared.select(date).distinct().collect()}
+    stream_apply(bronze_stream(spark, bronze, store, max_files), restate, checkpoint)
 
 
 def silver_enriched(
@@ -188,6 +161,7 @@ def silver_enriched(
     checkpoint: str,
     base_year: int = BASE_YEAR,
     max_files: int | None = None,
+    flags: Flags | None = None,
 ) -> None:
     """Rebuild the enriched dates whose readings or weather changed.
 
@@ -195,13 +169,12 @@ def silver_enriched(
     building versions do not touch dates that are not rebuilt.
     """
 
-    def rebuild(batch: DataFrame, _: int) -> None:
+    def rebuild(batch: DataFrame, _: int) -> dict:
         dates = touched_dates(batch, READING_DATE)
         of_dates = stored_dates(spark, readings, READING_DATE, dates)
         at = stored_dates(spark, weather, WEATHER_DATE, dates)
         result = enrich_readings(of_dates, read_snapshot(spark, buildings), at, base_year)
-        grow_table_schema(spark, target, result.schema)
-        overwrite_partitions(result, target, READING_DATE)
+        return replace_dates(result, target, READING_DATE, dates, flags)
 
     of_readings = stored_stream(spark, readings, max_files).select(READING_DATE)
     of_weather = stored_stream(spark, weather, max_files).select(F.col(WEATHER_DATE).alias(READING_DATE))

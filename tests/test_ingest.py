@@ -1,4 +1,6 @@
 import datetime as dt
+import json
+import time
 
 import pytest
 from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
@@ -56,10 +58,57 @@ def test_misfit_value_is_rescued(landing):
     landing.run()
     landing.put("b.csv", "id,value", "3,oops", "4,40")
     rows = {r.id: r for r in landing.run().collect()}
-    assert (rows[3].value, rows[3]._rescued_data) == (None, "3,oops")
+    assert (rows[3].value, json.loads(rows[3]._rescued_data)) == (None, {"value": "oops"})
     assert (rows[4].value, rows[4]._rescued_data) == (40, None)
 
 
+def test_every_misfit_of_a_line_is_rescued_by_name(landing):
+    landing.put("a.csv", "id,value,at,note", "1,10,2024-01-01 05:00:00,x")
+    landing.run()
+    landing.put("b.csv", "note,at,value,id", 'hi,never,ten,2', "short,2024-01-02 00:00:00", ' ,"", , 4', "a,b,c,5,more")
+    rows = {r.id: r for r in landing.run().collect()}
+    assert json.loads(rows[2]._rescued_data) == {"value": "ten", "at": "never"} and rows[2].note == "hi"
+    assert (rows[4].value, rows[4].at, rows[4]._rescued_data) == (None, None, None)
+    assert json.loads(rows[None]._rescued_data) == {"_line": "short,2024-01-02 00:00:00"}
+    assert json.loads(rows[5]._rescued_data) == {"value": "c", "at": "b", "_line": "a,b,c,5,more"}
+
+
+def test_types_widen_without_losing_a_value(landing, spark):
+    landing.put("a.csv", "id,value,big", "1,10,1", "2,20,2")
+    assert [f.dataType.simpleString() for f in landing.run(on_misfit="widen").schema.fields[:3]] == ["int", "int", "int"]
+    landing.put("b.csv", "id,value,big", f"3,2.5,{2**40}", "4,many,5")
+    got = landing.run(on_misfit="widen")
+    assert [f.dataType.simpleString() for f in got.schema.fields[:3]] == ["int", "double", "bigint"]
+    rows = {r.id: r for r in got.collect()}
+    assert [rows[i].value for i in (1, 2, 3, 4)] == [10.0, 20.0, 2.5, None]
+    assert (rows[3].big, json.loads(rows[4]._rescued_data)) == (2**40, {"value": "many"})
+    landing.put("c.csv", "id,value,big", "5,lots,1.5")
+    got = landing.run(on_misfit="widen_to_text")
+    assert [f.dataType.simpleString() for f in got.schema.fields[:3]] == ["int", "string", "double"]
+    rows = {r.id: r for r in got.collect()}
+    assert [rows[i].value for i in (1, 3, 5)] == ["10", "2.5", "lots"]
+    assert [rows[i].big for i in (1, 3, 5)] == [1.0, float(2**40), 1.5]
+    # Files of each type stay what they were.
+    assert sorted(p.name for p in (landing.base / "bronze").iterdir()) == ["types=0", "types=1", "types=2"]
+    landing.put("d.csv", "id", "6")
+    with pytest.raises(Exception, match="on_misfit"):
+        landing.run(on_misfit="other")
+
+
+def test_taken_files_are_moved_away(landing):
+    archive = landing.base / "archive"
+    for n in range(3):
+        landing.put(f"{n}.csv", "id", str(n))
+        assert sorted(r.id for r in landing.run(archive=str(archive)).collect()) == list(range(n + 1))
+        waiting = time.monotonic() + 20
+        # The files of a run leave once the next one has begun its batch.
+        while {p.name for p in landing.source.glob("*.csv")} != {f"{n}.csv"} and time.monotonic() < waiting:
+            time.sleep(0.1)
+        assert {p.name for p in landing.source.glob("*.csv")} == {f"{n}.csv"}
+    assert sorted(p.name for p in archive.rglob("*.csv")) == ["0.csv", "1.csv"]
+    assert sorted(r.id for r in landing.run(archive=str(archive)).collect()) == [0, 1, 2]
+
+
 def test_files_are_taken_once_in_bounded_batches(landing):
     for n in range(5):
         landing.put(f"{n}.csv", "id", str(n))

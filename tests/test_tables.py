@@ -1,10 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from meterlake.operators.reports import counted
 from meterlake.session import materialize, scratch_dir
 from meterlake.sinks import files
-from meterlake.sinks.snapshots import create_snapshot_if_missing, read_snapshot, refresh, snapshot_exists
+from meterlake.sinks.counters import Aggregate, Watch, load_counters, save_counters, summed
+from meterlake.sinks.snapshots import create_snapshot_if_missing, publish, read_snapshot, refresh, snapshot_exists
 from meterlake.sinks.tables import (
     append,
     create_if_missing,
@@ -100,6 +100,31 @@ def test_scratch_is_under_the_shared_folder(spark):
 
 
 def test_counters_fill_while_writing(spark, tmp_path):
-    df, watch = counted(table(spark, (1, "a"), (2, None)), "w", missing="v IS NULL")
-    df.write.parquet(str(tmp_path / "c"))
-    assert watch.get == {"total": 2, "missing": 1}
+    watch = Watch({"missing": "v IS NULL", "least": Aggregate("min(v)")})
+    watch.on(table(spark, (1, "a"), (2, None))).write.parquet(str(tmp_path / "c"))
+    assert watch.counts == {"total": 2, "missing": 1, "least": "a"}
+    empty = Watch({"missing": "v IS NULL"})
+    empty.on(table(spark, (1, "a")).limit(0)).write.parquet(str(tmp_path / "e"))
+    assert empty.counts == {"total": 0, "missing": 0}
+
+
+def test_counters_are_replaced_by_part(spark, tmp_path):
+    place = str(tmp_path / "t")
+    assert load_counters(spark, place) == {}
+    save_counters(spark, place, {"a": {"total": 1}, "b": {"total": 2}})
+    save_counters(spark, place, {"b": {"total": 5}})
+    assert summed(load_counters(spark, place), ["total", "none"]) == {"total": 6, "none": 0}
+    # A text whose writing broke off is passed over.
+    files.write_text(spark, f"{place}.counters/9.json", '{"a": {"tot')
+    assert summed(load_counters(spark, place), ["total"]) == {"total": 6}
+    save_counters(spark, place, {"all": {"total": 3}}, keep_others=False)
+    assert load_counters(spark, place) == {"all": {"total": 3}}
+
+
+def test_a_staged_table_is_published_once(spark, tmp_path):
+    staged, path = str(tmp_path / "stage"), str(tmp_path / "t")
+    refresh(table(spark, (0, "old")), path)
+    table(spark, (1, "a")).write.parquet(staged)
+    publish(spark, staged, path)
+    publish(spark, staged, path)
+    assert rows(read_snapshot(spark, path)) == [(1, "a")] and not files.exists(spark, staged)
