@@ -2,7 +2,7 @@
 
 Beside the silver table lie
   ``.observed``  standardised observations before any filling, by date,
-  ``.closings``  the last known values of each site and day, by date,
+  ``.closings``  the last known values of each site and day, by month,
   ``.values``    how many filled rows of a site have each value,
   ``.medians``   the medians that follow from these counts.
 A late value changes what later days take over up to the next known one, which the closing values
@@ -13,9 +13,12 @@ are the days filled with that median changed too.
 from __future__ import annotations
 
 import datetime as dt
+import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from meterlake.functions.labels import temperature_band
 from meterlake.operators import fill
@@ -23,7 +26,7 @@ from meterlake.operators.dedupe import latest_by
 from meterlake.operators.fill import PLACE
 from meterlake.operators.weather import GAP_FILLED, standardise_weather
 from meterlake.sinks import files
-from meterlake.sinks.counters import Flags, Watch
+from meterlake.sinks.counters import Flags
 from meterlake.sinks.snapshots import publish, read_snapshot, snapshot_exists
 from meterlake.sinks.tables import overwrite_partitions, table_exists
 from meterlake.sources.schemas import cast_to, load_schema, widen_schema
@@ -33,54 +36,35 @@ from meterlake.streaming.silver import (
     NEWEST,
     WEATHER_DATE,
     grow_table_schema,
-    note_dates,
     on_dates,
+    replace_dates,
     stored_dates,
     stored_table,
     touched_dates,
 )
 
-SITE, TIME = "site_id", "timestamp"
-COUNTS = "_key int, _column string, _value double, _n long"
+SITE, TIME, MONTH = "site_id", "timestamp", "month"
 
 
 def _empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _stored(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+def _stored(df: DataFrame, path: str) -> DataFrame:
     """Written once for the several steps that start from it."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _of_dates(spark: SparkSession, table: str, dates: set, schema) -> DataFrame:
+def _of_dates(spark: SparkSession, table: str, dates: set, schema: StructType) -> DataFrame:
     """Dates of a kept table under the schema of now; nothing if there is no table yet."""
     if not table_exists(spark, table) or not dates:
         return _empty(spark, schema)
     return cast_to(stored_dates(spark, table, WEATHER_DATE, dates), schema)
 
 
-def _carried(closings: DataFrame, old: list[str], new: list[str]) -> DataFrame:
-    """What each place took over before this batch and takes over now, whether it is touched, and
-    ``changed``: whether that or its own rows are no longer the same."""
-    carried = fill.carried_in(closings, [*old, *new])
-    both = closings.select(PLACE, "touched").join(carried, PLACE)
-    differs = F.lit(False)
-    for before, now in zip(old, new, strict=True):
-        differs = differs | ~F.col(f"_carry_{before}").eqNullSafe(F.col(f"_carry_{now}"))
-    return both.withColumn("changed", F.col("touched") | differs)
-
-
-def _as_carried(carried: DataFrame, prefix: str, columns: list[str], *more: str) -> DataFrame:
-    return carried.select(PLACE, "_key", *[F.col(f"_carry_{prefix}{c}").alias(f"_carry_{c}") for c in columns], *more)
-
-
-def _only(rows: DataFrame, places: DataFrame, how: str) -> DataFrame:
-    """Rows whose site and day is, or is not, among some places."""
-    place = F.struct(F.col(SITE).alias("key"), F.to_date(TIME).alias("day"))
-    return rows.withColumn(PLACE, place).join(places.select(PLACE), PLACE, how).drop(PLACE)
+def _snapshot(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    return read_snapshot(spark, table) if snapshot_exists(spark, table) else _empty(spark, schema)
 
 
 def _dates_of(places: DataFrame) -> set[dt.date | None]:
@@ -88,6 +72,11 @@ def _dates_of(places: DataFrame) -> set[dt.date | None]:
     return {row[0] for row in places.select(f"{PLACE}.day").distinct().collect()}
 
 
+def _takes_over(carried: DataFrame, prefix: str, columns: list[str]) -> DataFrame:
+    """What places take over, before the batch or now, as ``fill_from`` wants it."""
+    return carried.select(PLACE, "_key", *[F.col(f"_carry_{prefix}{c}").alias(f"_carry_{c}") for c in columns])
+
+
 def silver_weather(
     spark: SparkSession,
     bronze: str,
@@ -101,99 +90,117 @@ def silver_weather(
 ) -> None:
     """Clean new observations and restate the days they change, equal to cleaning everything at once.
 
-    The last arrived observation of a site and time counts. All that a batch changes is first
-    written to a stage; a batch repeated after a failure goes on from a complete stage, so the
-    kept tables never take in a difference twice.
+    The last arrived observation of a site and time counts. What a batch changes in the kept
+    tables is first written to a stage. A batch repeated after a failure goes on from a
+    complete stage, so the counts never take in a difference twice, and all steps from there
+    on replace what they made before.
     """
     gaps = GAP_FILLED if gap_columns is None else gap_columns
-    old, new = [f"old_{c}" for c in gaps], [f"new_{c}" for c in gaps]
     observed, closings, values, medians = (f"{target}.{n}" for n in ("observed", "closings", "values", "medians"))
+    grain = [SITE, TIME]
 
-    def prepare(batch: DataFrame, stage: str) -> None:
-        incoming = standardise_weather(batch, strict)
-        incoming = _stored(latest_by(incoming, [SITE, TIME], NEWEST), f"{stage}/incoming")
-        dates = touched_dates(incoming, WEATHER_DATE)
-        schema = widen_schema(load_schema(spark, f"{observed}.schema"), incoming.schema)
-        before = _of_dates(spark, observed, dates, schema)
-        rows = latest_by(before.unionByName(cast_to(incoming, schema)), [SITE, TIME], NEWEST)
-        rows = _stored(rows, f"{stage}/observed", WEATHER_DATE)
-
-        # Closing values of all days of all sites, those of the batch's days before and after.
+    def days_then_and_now(rows: DataFrame, dates: set) -> DataFrame:
+        """Every site and day with the closing values before the batch, now, and whether it is touched."""
         now = fill.closing_values(rows, SITE, TIME, gaps)
         now = now.select(PLACE, *[F.col(c).alias(f"new_{c}") for c in gaps])
-        touched = incoming.select(F.struct(F.col(SITE).alias("key"), F.col(WEATHER_DATE).alias("day")).alias(PLACE))
-        shape = [F.col(SITE).alias("key"), F.col(WEATHER_DATE).alias("day")]
+        place = F.struct(F.col(SITE).alias("key"), F.col(WEATHER_DATE).alias("day")).alias(PLACE)
         if table_exists(spark, closings):
-            known = stored_table(spark, closings)
-            known = known.select(F.struct(*shape).alias(PLACE), F.col(WEATHER_DATE), *[F.col(c).alias(f"old_{c}") for c in gaps])
+            known = stored_table(spark, closings).select(place, *[F.col(c).alias(f"old_{c}") for c in gaps])
         else:
             kinds = ", ".join(f"old_{c} double" for c in gaps)
-            known = _empty(spark, f"{PLACE} struct<key:int,day:date>, {WEATHER_DATE} date, {kinds}")
-        restated = on_dates(WEATHER_DATE, dates)
+            known = _empty(spark, f"{PLACE} struct<key:int,day:date>, {kinds}")
+        restated = on_dates(f"{PLACE}.day", dates)
         kept = [F.when(restated, F.col(f"new_{c}")).otherwise(F.col(f"old_{c}")).alias(f"new_{c}") for c in gaps]
-        all_days = (
+        touched = rows.where("_fresh").select(place).distinct().withColumn("_touched", F.lit(True))
+        return (
             known.join(now, PLACE, "full")
-            .withColumn(WEATHER_DATE, F.col(f"{PLACE}.day"))
-            .join(touched.distinct().withColumn("touched", F.lit(True)), PLACE, "left")
-            .select(PLACE, *old, *kept, F.coalesce("touched", F.lit(False)).alias("touched"))
+            .join(touched, PLACE, "left")
+            .select(PLACE, *[f"old_{c}" for c in gaps], *kept, F.coalesce("_touched", F.lit(False)).alias("touched"))
         )
-        carried = _stored(_carried(all_days, old, new), f"{stage}/carried")
-        site_day = [F.col(f"{PLACE}.key").alias(SITE), F.col(f"{PLACE}.day").alias(WEATHER_DATE)]
-        _stored(now.select(*site_day, *[F.col(f"new_{c}").alias(c) for c in gaps]), f"{stage}/closings", WEATHER_DATE)
 
-        # Counts by the difference of the days that are filled differently now.
+    def counts_then_and_now(carried: DataFrame, before: DataFrame, rows: DataFrame, dates: set) -> DataFrame:
+        """The value counts, changed by the days that are filled differently now."""
         changed = carried.where("changed")
-        further = _dates_of(changed) - dates
-        unchanged_rows = _of_dates(spark, observed, further, schema)
+        same = _of_dates(spark, observed, _dates_of(changed) - dates, before.schema)
         slim = [SITE, TIME, *gaps]
-        rows_now = _only(rows.select(slim).unionByName(unchanged_rows.select(slim)), changed, "left_semi")
-        rows_old = _only(before.select(slim).unionByName(unchanged_rows.select(slim)), changed, "left_semi")
-        filled_now = fill.fill_from(rows_now, _as_carried(changed, "new_", gaps), SITE, TIME, gaps)
-        filled_old = fill.fill_from(rows_old, _as_carried(changed, "old_", gaps), SITE, TIME, gaps)
-        difference = fill.value_counts(filled_now, SITE, gaps).unionByName(
-            fill.value_counts(filled_old, SITE, gaps, sign=-1)
+
+        def counted(of_dates: DataFrame, prefix: str, sign: int) -> DataFrame:
+            place = F.struct(F.col(SITE).alias("key"), F.to_date(TIME).alias("day"))
+            every = of_dates.select(slim).unionByName(same.select(slim)).withColumn(PLACE, place)
+            own = every.join(changed.select(PLACE), PLACE, "left_semi").drop(PLACE)
+            filled = fill.fill_from(own, _takes_over(changed, prefix, gaps), SITE, TIME, gaps)
+            return fill.value_counts(filled, SITE, gaps, sign)
+
+        difference = counted(rows, "new_", 1).unionByName(counted(before, "old_", -1))
+        return fill.add_counts(_snapshot(spark, values, difference.schema), difference)
+
+    def prepare(batch: DataFrame, stage: str) -> set[dt.date | None]:
+        """Write what the batch changes to the stage; the dates whose rows are not the same any more."""
+        incoming = standardise_weather(batch, strict).withColumn("_fresh", F.lit(True))
+        dates = touched_dates(incoming, WEATHER_DATE)
+        schema = widen_schema(load_schema(spark, f"{observed}.schema"), incoming.drop("_fresh").schema)
+        before = _of_dates(spark, observed, dates, schema).withColumn("_fresh", F.lit(False))
+        rows = latest_by(before.unionByName(cast_to(incoming, before.schema)), grain, NEWEST)
+        rows = _stored(rows, f"{stage}/observed")
+
+        days = days_then_and_now(rows, dates)
+        carried = fill.carried_in(days, [f"{when}_{c}" for c in gaps for when in ("old", "new")])
+        differs = reduce(
+            lambda a, b: a | b,
+            [~F.col(f"_carry_old_{c}").eqNullSafe(F.col(f"_carry_new_{c}")) for c in gaps],
+            F.col("touched"),
         )
-        counts = read_snapshot(spark, values) if snapshot_exists(spark, values) else _empty(spark, COUNTS)
-        counts = _stored(fill.add_counts(counts, difference), f"{stage}/values")
+        now = [f"new_{c}" for c in gaps]
+        carried = days.select(PLACE, "touched", *now).join(carried, PLACE).withColumn("changed", differs)
+        carried = _stored(carried, f"{stage}/carried")
+        counts = _stored(counts_then_and_now(carried, before, rows, dates), f"{stage}/values")
         found = _stored(fill.medians_of_counts(counts, SITE, gaps), f"{stage}/medians")
 
         # Days still open at their beginning take the median, so they change with it.
-        last = read_snapshot(spark, medians) if snapshot_exists(spark, medians) else _empty(spark, found.schema)
-        moved = found.select(F.col(SITE).alias("_key"), *[F.col(f"med_{c}").alias(f"now_{c}") for c in gaps]).join(
-            last.select(F.col(SITE).alias("_key"), *[F.col(f"med_{c}").alias(f"was_{c}") for c in gaps]), "_key", "full"
+        last = _snapshot(spark, medians, found.schema).select(
+            F.col(SITE).alias("_was"), *[F.col(f"med_{c}").alias(f"was_{c}") for c in gaps]
         )
-        open_ = F.lit(False)
-        for c in gaps:
-            open_ = open_ | (F.col(f"_carry_new_{c}").isNull() & ~F.col(f"now_{c}").eqNullSafe(F.col(f"was_{c}")))
-        places = carried.join(moved, "_key", "left").where(F.col("changed") | open_)
-        places = _stored(_as_carried(places, "new_", gaps, *[F.col(f"now_{c}").alias(f"med_{c}") for c in gaps]), f"{stage}/places")
-
-        # The rows of those days, filled; other sites' rows of the same dates as they are.
-        result_dates = _dates_of(places)
-        more = _of_dates(spark, observed, result_dates - dates, schema)
-        all_rows = _only(rows.unionByName(more), places, "left_semi")
-        filled = fill.put_medians(fill.fill_from(all_rows, places, SITE, TIME, gaps), gaps)
-        result = filled.withColumn("temp_category", temperature_band(F.col("air_temperature")))
-        if table_exists(spark, target):
-            others = _only(stored_dates(spark, target, WEATHER_DATE, result_dates), places, "left_anti")
-            result = result.unionByName(others, allowMissingColumns=True)
-        _stored(result, f"{stage}/result")
-        files.write_text(spark, f"{stage}/_READY", "")
+        moved = found.join(last, F.col(SITE) == F.col("_was"), "full").withColumn("_site", F.coalesce(SITE, "_was"))
+        opened = reduce(
+            lambda a, b: a | b,
+            [
+                F.col(f"_carry_new_{c}").isNull() & ~F.col(f"med_{c}").eqNullSafe(F.col(f"was_{c}"))
+                for c in gaps
+            ],
+        )
+        return _dates_of(carried.join(moved, F.col("_key") == F.col("_site"), "left").where(F.col("changed") | opened))
 
     def restate(batch: DataFrame, batch_id: int) -> dict:
         stage = f"{checkpoint}/stage/{batch_id}"
-        if not files.exists(spark, f"{stage}/_READY"):
-            prepare(read_bronze_batch(spark, bronze, store, batch), stage)
-        watch = Watch(flags)
-        for name, table, counted in (("observed", observed, None), ("closings", closings, None), ("result", target, watch)):
-            rows = spark.read.parquet(f"{stage}/{name}")
-            grow_table_schema(spark, table, rows.schema)
-            overwrite_partitions(rows, table, WEATHER_DATE, watch=counted)
+        ready = files.read_text(spark, f"{stage}/_READY")
+        if ready is None:
+            dates = prepare(read_bronze_batch(spark, bronze, store, batch), stage)
+            ready = json.dumps([d and d.isoformat() for d in sorted(dates, key=str)])
+            files.write_text(spark, f"{stage}/_READY", ready)
+        dates = {d and dt.date.fromisoformat(d) for d in json.loads(ready)}
+
+        rows = spark.read.parquet(f"{stage}/observed").drop("_fresh")
+        schema = grow_table_schema(spark, observed, rows.schema)
+        overwrite_partitions(rows, observed, WEATHER_DATE)
+        carried = spark.read.parquet(f"{stage}/carried")
+        month = F.trunc(f"{PLACE}.day", "month").alias(MONTH)
+        site_day = [F.col(f"{PLACE}.key").alias(SITE), F.col(f"{PLACE}.day").alias(WEATHER_DATE)]
+        closing = carried.select(*site_day, month, *[F.col(f"new_{c}").alias(c) for c in gaps])
+        months = {row[0] for row in carried.where("touched").select(month).distinct().collect()}
+        grow_table_schema(spark, closings, closing.schema)
+        overwrite_partitions(closing.where(on_dates(MONTH, months)), closings, MONTH)
         for name, table in (("values", values), ("medians", medians)):
             publish(spark, f"{stage}/{name}", table)
-        dates = {row[0] for row in spark.read.parquet(f"{stage}/result").select(WEATHER_DATE).distinct().collect()}
-        note_dates(spark, target, WEATHER_DATE, dates, flags)
+
+        # All rows of those dates, from the observations and what is carried into each day.
+        carried = _takes_over(carried, "new_", gaps)
+        med = read_snapshot(spark, medians).withColumnRenamed(SITE, "_med_key")
+        carried = carried.where(on_dates(f"{PLACE}.day", dates)).join(med, F.col("_key") == F.col("_med_key"), "left")
+        every = _of_dates(spark, observed, dates, schema)
+        filled = fill.put_medians(fill.fill_from(every, carried.drop("_med_key"), SITE, TIME, gaps), gaps)
+        result = filled.withColumn("temp_category", temperature_band(F.col("air_temperature")))
+        counts = replace_dates(result, target, WEATHER_DATE, dates, flags)
         files.remove(spark, stage)
-        return watch.counts
+        return counts
 
     stream_apply(bronze_stream(spark, bronze, store, max_files), restate, checkpoint)
