@@ -196,11 +196,12 @@ def _arrow_schema(conv: pa.DataType) -> pa.Schema:
     )
 
 
-def _numbered(segments: DataFrame) -> DataFrame:
+def _numbered(segments: DataFrame, scratch: Scratch) -> DataFrame:
     """Segments with their number in the conversation and ``n_segments``.
 
     Counted per task first; the window runs over one row a task of a conversation, so it never
-    sees more rows of one conversation than there are tasks.
+    sees more rows of one conversation than there are tasks. Conversations of one segment, by
+    far the most, are those that the stored list of the others lacks, so texts need not move.
     """
     parts = segments.groupBy("conv_id", "part").agg(F.count("*").alias("here"), F.min("at").alias("least"))
     by_conv = Window.partitionBy("conv_id")
@@ -211,9 +212,13 @@ def _numbered(segments: DataFrame) -> DataFrame:
         (F.sum("here").over(by_conv.orderBy("part")) - F.col("here")).alias("before"),
         F.sum("here").over(by_conv).alias("n_segments"),
     )
+    parts = scratch.store(parts.where("n_segments > 1"))
     same = segments["conv_id"].eqNullSafe(parts["conv"]) & (segments["part"] == parts["task"])
-    return segments.join(parts, same).select(
-        segments["*"], (F.col("before") + F.col("at") - F.col("least")).alias("seg"), "n_segments"
+    one = F.lit(1).cast("long")
+    return segments.join(parts, same, "left").select(
+        segments["*"],
+        F.coalesce(F.col("before") + F.col("at") - F.col("least"), one - 1).alias("seg"),
+        F.coalesce("n_segments", one).alias("n_segments"),
     )
 
 
@@ -562,7 +567,7 @@ def repair(turns: DataFrame, max_rows: int = 512, max_chars: int = 1 << 20) -> D
     rows = _faults(
         turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text", "copy", "gone"), scratch
     )
-    segments = _numbered(scratch.store(_segments(rows, max_rows, max_chars)))
+    segments = _numbered(scratch.store(_segments(rows, max_rows, max_chars)), scratch)
     found = _single(segments.where("n_segments = 1"), conv)
     many = scratch.store(segments.where("n_segments > 1"))
     if not many.isEmpty():
