@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import string
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -112,6 +113,7 @@ def read_blocks(page: str, names: bool = True) -> list[Block]:
     linked: list[str] = []
     # Open elements: tag, furniture, article, holder. The first is the page itself.
     stack: list[tuple[str, bool, int, int]] = [("", False, 0, 0)]
+    open_tags: Counter[str] = Counter()
     made = links = 0
 
     def text(piece: str) -> None:
@@ -161,18 +163,22 @@ def read_blocks(page: str, names: bool = True) -> list[Block]:
         if tag in VOID:
             continue
         if token["end"]:
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-            if depth:
-                del stack[depth:]
+            while open_tags[tag]:
+                ended = stack.pop()[0]
+                open_tags[ended] -= 1
+                if ended == tag:
+                    break
             continue
         if stack[-1][0] == "p":
             stack.pop()
+            open_tags["p"] -= 1
         _, furniture, article, holder = stack[-1]
         made += 1
         if tag in ("article", "main"):
             # A menu or a page header that was left open does not swallow the article.
-            if any(t in ("nav", "menu", "header") for t, *_ in stack) or (tag == "main" and furniture):
+            if any(open_tags[t] for t in ("nav", "menu", "header")) or (tag == "main" and furniture):
                 del stack[1:]
+                open_tags.clear()
                 furniture = False
             if article <= 0:
                 article = made if tag == "article" else article or -made
@@ -183,6 +189,7 @@ def read_blocks(page: str, names: bool = True) -> list[Block]:
         if tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"):
             holder = made
         stack.append((tag, furniture, article, holder))
+        open_tags[tag] += 1
     close()
     return blocks
 
