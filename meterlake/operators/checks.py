@@ -16,6 +16,7 @@ from meterlake.functions.numeric import count_where
 
 # Columns of the check log.
 LOG_COLUMNS = ["check_name", "checked_at", "details", "passed", "table"]
+SURPLUS = "surplus_keys"
 
 
 def _result(name: str, table: str, bad: Column, note: Column) -> Column:
@@ -50,6 +51,12 @@ def violations(predicate: str, rows: str | None = None) -> tuple[Column, Column]
     return bad, F.concat(F.lit("rows violating: "), bad.cast("string"))
 
 
+def total(column: str, label: str = "rows violating: ") -> tuple[Column, Column]:
+    """Bad rows that a column of a summary already counts."""
+    bad = F.coalesce(F.sum(column), F.lit(0))
+    return bad, F.concat(F.lit(label), bad.cast("string"))
+
+
 def not_empty() -> tuple[Column, Column]:
     rows = F.count(F.lit(1))
     return F.when(rows > 0, 0).otherwise(1), F.concat(F.lit("rows="), rows.cast("string"))
@@ -92,12 +99,15 @@ def no_duplicates(df: DataFrame, keys: list[str], table: str, name: str) -> Data
     return metric_checks(duplicates(df, keys), table, {name: violations("true")})
 
 
+def key_surplus(df: DataFrame, key: str, *parts: str) -> DataFrame:
+    """Rows beyond the first of each key, of the table or of each part; only these columns are shuffled."""
+    counts = df.groupBy(*parts, key).agg((F.count(F.lit(1)) - 1).alias("more"))
+    return counts.groupBy(*parts).agg(F.coalesce(F.sum("more"), F.lit(0)).alias(SURPLUS))
+
+
 def unique_key(df: DataFrame, key: str, table: str, name: str) -> DataFrame:
-    """Rows equal distinct keys. Bad rows are the surplus; only the key column is shuffled."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-    surplus = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
-    note = F.concat(F.lit("surplus rows="), surplus.cast("string"))
-    return metric_checks(counts, table, {name: (surplus, note)})
+    """Rows equal distinct keys. Bad rows are the surplus."""
+    return metric_checks(key_surplus(df, key), table, {name: total(SURPLUS, "surplus rows=")})
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str, rows: str | None = None) -> DataFrame:
@@ -110,14 +120,6 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str, rows: str | None = None)
     return counts.join(dim.select(key), key, "left_anti")
 
 
-def resolves(
-    fact: DataFrame, dim: DataFrame, key: str, table: str, name: str, rows: str | None = None
-) -> DataFrame:
-    bad = F.coalesce(F.sum("rows"), F.lit(0))
-    note = F.concat(F.lit(f"orphan {key}s="), bad.cast("string"))
-    return metric_checks(orphans(fact, dim, key, rows), table, {name: (bad, note)})
-
-
 def months_per_group(df: DataFrame, group: str, day: str) -> DataFrame:
     """Distinct months per group, with partial masks combined before the shuffle."""
     return df.groupBy(group).agg(distinct_months(day).alias("months"))

@@ -13,13 +13,17 @@ def rank_values(df: DataFrame, column: str, out: str) -> DataFrame:
 
     Values are made distinct before any ordering, cut into ranges and ordered inside each; the
     only ungrouped window runs over the ranges. The bounds are taken from at most 4,096
-    values, chosen by a hash, so that ranges are about even whatever the values begin with.
+    values, chosen by a hash, so that ranges are about even whatever the values begin with;
+    they are a subquery of the plan, and the same wherever it is computed.
     """
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    sample = sorted(r[0] for r in values.orderBy(F.xxhash64(column), column).limit(SAMPLE).collect())
-    bounds = sample[:: max(1, len(sample) // RANGES)][1:]
-    passed = F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<string>"), lambda b: b <= F.col(column))
-    ranged = values.withColumn("_range", F.size(passed))
+    sample = values.orderBy(F.xxhash64(column), column).limit(SAMPLE)
+    ordered = sample.agg(F.sort_array(F.collect_list(column)).alias("all"))
+    step = F.greatest(F.lit(1), F.floor(F.size("all") / RANGES))
+    bounds = ordered.select(F.filter("all", lambda _, k: (k > 0) & (k % step == 0))).scalar()
+    ranged = values.withColumn("_bounds", bounds).select(
+        column, F.size(F.filter("_bounds", lambda b: b <= F.col(column))).alias("_range")
+    )
     preceding = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_range")

@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.operators.checks import (
+    SURPLUS,
     at_least_share,
     distinct_check,
     expected,
+    key_surplus,
     metric_checks,
     month_mask,
     months_in,
     no_duplicates,
     not_empty,
-    resolves,
+    total,
     union_all,
-    unique_key,
     violations,
 )
 from meterlake.operators.enrich import current_versions
-from meterlake.session import materialize
 
 # Table names in the log. The check names below are fixed as well.
 METER, WEATHER, BUILDING = "bronze_meter_readings", "bronze_weather_readings", "bronze_building_metadata"
@@ -110,18 +110,26 @@ def silver_checks(
     )
 
 
+# Row rules of the daily fact: the counters that its dates are kept with.
+DAILY_RULES = {
+    "null_building_key": "building_key IS NULL",
+    "wrong_total": "round(total_energy, 2) <> round("
+    "total_electricity_kwh + total_chilled_water + total_steam + total_hot_water, 2)",
+    "odd_completeness": "data_completeness_pct NOT BETWEEN 0 AND 100",
+    "odd_hours": "hours_with_data NOT BETWEEN 0 AND 24",
+}
+FACT_KEYS = ["building_key", "site_key", "date_key", "meter_type_key"]
+UNIQUE = {FACT: "reading_key", DAILY: "building_date_key"}
+
+
 def fact_summary(fact: DataFrame) -> DataFrame:
-    """One row for each combination of the fact's keys, written once: what row rules, orphan
-    checks and months need, so that the fact is read for this and for the uniqueness of its key."""
-    return materialize(
-        fact.groupBy("building_key", "site_key", "date_key", "meter_type_key").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("meter_reading").isNull()).alias("null_readings"),
-            F.count_if(F.col("meter_reading") < 0).alias("negative_readings"),
-            F.count_if((F.col("air_temperature") < -40) | (F.col("air_temperature") > 50)).alias("odd_temperatures"),
-            month_mask("reading_date").alias("months"),
-        ),
-        "fact_summary",
+    """One row for each date and combination of the fact's keys: what row rules, orphan checks
+    and months need. A date's rows depend on that date only, so they can be kept and replaced."""
+    return fact.groupBy("reading_date", *FACT_KEYS).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("meter_reading").isNull()).alias("null_readings"),
+        F.count_if(F.col("meter_reading") < 0).alias("negative_readings"),
+        F.count_if((F.col("air_temperature") < -40) | (F.col("air_temperature") > 50)).alias("odd_temperatures"),
     )
 
 
@@ -136,38 +144,80 @@ def gold_checks(
     expected_sites: int = 16,
     expected_months: int = 12,
 ) -> DataFrame:
+    """The gold checks from the facts themselves, each read once for its rules and once for its key."""
+    rules = daily.agg(*[F.count_if(F.expr(rule)).alias(name) for name, rule in DAILY_RULES.items()])
+    return gold_checks_of(
+        fact_summary(fact),
+        key_surplus(fact, UNIQUE[FACT]),
+        rules,
+        key_surplus(daily, UNIQUE[DAILY]),
+        *(dates, buildings, sites, meter_types, hours, expected_sites, expected_months),
+    )
+
+
+def gold_checks_of(
+    short: DataFrame,
+    fact_surplus: DataFrame,
+    daily_rules: DataFrame,
+    daily_surplus: DataFrame,
+    dates: DataFrame,
+    buildings: DataFrame,
+    sites: DataFrame,
+    meter_types: DataFrame,
+    hours: DataFrame,
+    expected_sites: int = 16,
+    expected_months: int = 12,
+) -> DataFrame:
+    """The gold checks from what is kept of the facts: the fact's summary, the counters of the daily
+    fact's rules, and the surplus of the keys of both."""
     rows = F.count(F.lit(1))
-    short = fact_summary(fact)
-    parts = "total_electricity_kwh + total_chilled_water + total_steam + total_hot_water"
+    dims = dict(zip(FACT_KEYS, (buildings, sites, dates, meter_types), strict=True))
+    found = short
+    for key, dim in dims.items():
+        found = found.join(dim.select(key).distinct().withColumn(f"has_{key}", F.lit(True)), key, "left")
+
+    def rows_where(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("n")).otherwise(0))
+
+    counted = ["null_readings", "negative_readings", "odd_temperatures"]
+    # One row a site first: the months of each site and of all come from the same pass.
+    by_site = found.groupBy("site_key").agg(
+        rows_where(F.col("building_key").isNull()).alias("null_building"),
+        rows_where(F.col("date_key").isNull()).alias("null_date"),
+        *[F.sum(c).alias(c) for c in counted],
+        *[rows_where(F.col(f"has_{key}").isNull()).alias(f"orphan_{key}") for key in dims],
+        month_mask("reading_date").alias("months"),
+    )
+    too_few = F.count_if(F.bit_count("months") < expected_months)
     return union_all(
         [
             metric_checks(
-                short,
+                by_site,
                 FACT,
                 {
-                    "fact_building_key_not_null": violations("building_key IS NULL", "n"),
-                    "fact_date_key_not_null": violations("date_key IS NULL", "n"),
-                    "fact_meter_reading_not_null": violations("null_readings > 0", "null_readings"),
-                    "fact_meter_reading_gte_0": violations("negative_readings > 0", "negative_readings"),
-                    "air_temp_range": violations("odd_temperatures > 0", "odd_temperatures"),
+                    "fact_building_key_not_null": total("null_building"),
+                    "fact_date_key_not_null": total("null_date"),
+                    "fact_meter_reading_not_null": total("null_readings"),
+                    "fact_meter_reading_gte_0": total("negative_readings"),
+                    "air_temp_range": total("odd_temperatures"),
                     "data_spans_12_months": expected(months_in(F.col("months")), expected_months, "months"),
+                    **{f"fact_{key}_resolves": total(f"orphan_{key}", f"orphan {key}s=") for key in dims},
+                    "all_sites_have_12_months": (too_few, F.concat(F.lit("rows violating: "), too_few.cast("string"))),
                 },
             ),
+            metric_checks(fact_surplus, FACT, {"fact_reading_key_unique": total(SURPLUS, "surplus rows=")}),
             metric_checks(
-                daily,
+                daily_rules,
                 DAILY,
                 {
-                    "daily_building_key_not_null": null_in("building_key"),
-                    "daily_total_energy_correct": violations(
-                        f"round(total_energy, 2) <> round({parts}, 2)"
-                    ),
-                    "completeness_pct_range": violations("data_completeness_pct NOT BETWEEN 0 AND 100"),
-                    "hours_with_data_range": violations("hours_with_data NOT BETWEEN 0 AND 24"),
+                    "daily_building_key_not_null": total("null_building_key"),
+                    "daily_total_energy_correct": total("wrong_total"),
+                    "completeness_pct_range": total("odd_completeness"),
+                    "hours_with_data_range": total("odd_hours"),
                 },
             ),
+            metric_checks(daily_surplus, DAILY, {"daily_building_date_key_unique": total(SURPLUS, "surplus rows=")}),
             metric_checks(buildings, "dim_building", {"dim_building_use_not_null": null_in("primary_use")}),
-            unique_key(fact, "reading_key", FACT, "fact_reading_key_unique"),
-            unique_key(daily, "building_date_key", DAILY, "daily_building_date_key_unique"),
             no_duplicates(
                 current_versions(buildings), ["building_id"], "dim_building", "dim_building_no_dup_current"
             ),
@@ -176,14 +226,5 @@ def gold_checks(
                 meter_types, "dim_meter_type", {"all_4_meter_types_in_dim": expected(rows, 4, "meter types")}
             ),
             metric_checks(hours, "dim_time_of_day", {"dim_time_24_rows": expected(rows, 24, "hours")}),
-            resolves(short, buildings, "building_key", FACT, "fact_building_key_resolves", "n"),
-            resolves(short, sites, "site_key", FACT, "fact_site_key_resolves", "n"),
-            resolves(short, dates, "date_key", FACT, "fact_date_key_resolves", "n"),
-            resolves(short, meter_types, "meter_type_key", FACT, "fact_meter_type_key_resolves", "n"),
-            metric_checks(
-                short.groupBy("site_key").agg(months_in(F.col("months")).alias("months")),
-                FACT,
-                {"all_sites_have_12_months": violations(f"months < {expected_months}")},
-            ),
         ]
     )

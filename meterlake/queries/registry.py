@@ -744,19 +744,60 @@ def _(q: Layers):
     "csv_rescue",
     sql(
         """SELECT event_id, building_id, CASE WHEN event_id % 50 = 0 THEN NULL ELSE meter END AS meter,
-                  meter_reading, event_id % 50 = 0 AS rescued FROM readings"""
+                  CASE WHEN event_id % 75 <> 0 THEN meter_reading END AS meter_reading, NULLIF(concat_ws('; ',
+                  CASE WHEN event_id % 50 = 0 THEN 'meter=n/a' END,
+                  CASE WHEN event_id % 75 = 0 THEN 'meter_reading=off ' || building_id END), '') AS rescued
+           FROM readings"""
     ),
 )
 def _(q: Layers):
+    """Fields that don't fit, one or two a line: each by its name, the others of the line as values."""
     lake = new_lake(q.spark)
-    broken = F.when(F.col("event_id") % 50 == 0, "n/a").otherwise(F.col("meter").cast("string"))
-    write_landing(q.raw("readings").withColumn("meter", broken), lake.landing(METER), parts=2)
+    broken = q.raw("readings").withColumns(
+        {
+            "meter": F.when(F.col("event_id") % 50 == 0, "n/a").otherwise(F.col("meter").cast("string")),
+            "meter_reading": F.when(F.col("event_id") % 75 == 0, F.concat(F.lit("off "), F.col("building_id"))).otherwise(
+                F.col("meter_reading").cast("string")
+            ),
+        }
+    )
+    write_landing(broken, lake.landing(METER), parts=2)
     rows = _feed(lake, q.spark, METER, schema=SCHEMAS[METER])
+    fields = F.map_entries(F.from_json("_rescued_data", "map<string,string>"))
+    listed = F.transform(F.array_sort(fields), lambda f: F.concat_ws("=", f["key"], f["value"]))
     return rows.select(
-        "event_id", "building_id", "meter", "meter_reading", F.col("_rescued_data").isNotNull().alias("rescued")
+        "event_id", "building_id", "meter", "meter_reading", F.array_join(listed, "; ").alias("rescued")
     )
 
 
+# Three runs: whole numbers, numbers past an int and with a fraction, and words.
+@query(
+    "csv_type_widening",
+    sql(
+        """SELECT event_id, meter, CASE WHEN meter = 1 THEN event_id + 4000000000 ELSE event_id END AS counter,
+                  CASE WHEN meter = 1 THEN event_id + 0.5 ELSE CAST(event_id AS DOUBLE) END AS amount,
+                  CASE WHEN meter >= 2 THEN 'w' || event_id ELSE CAST(event_id AS VARCHAR) END AS note,
+                  'bigint, double, string' AS types
+           FROM readings"""
+    ),
+)
+def _(q: Layers):
+    """Columns whose types grow while older files stay as they are."""
+    lake = new_lake(q.spark)
+    rows, number = q.raw("readings").select("event_id", "meter"), F.col("event_id")
+    steps = {
+        "a": ("meter = 0", number, number, number),
+        "b": ("meter = 1", number + 4_000_000_000, number + F.lit(0.5), number),
+        "c": ("meter >= 2", number, number, F.concat(F.lit("w"), number)),
+    }
+    for name, (part, counter, amount, note) in steps.items():
+        values = {"counter": counter, "amount": amount, "note": note}
+        write_landing(rows.filter(part).withColumns(values), f"{lake.landing(METER)}/{name}", parts=1)
+        got = _feed(lake, q.spark, METER, on_misfit="widen_to_text")
+    types = ", ".join(got.schema[c].dataType.simpleString() for c in ("counter", "amount", "note"))
+    return got.select("event_id", "meter", "counter", "amount", "note", F.lit(types).alias("types"))
+
+
 # --- streams ------------------------------------------------------------------------------
 
 
@@ -930,6 +971,33 @@ def _(q: Layers):
     return lakehouse.lake_report(q.spark, lake)
 
 
+@query(
+    "batch_journal",
+    sql(
+        """SELECT * FROM (
+             SELECT 'bronze_meter_readings' AS stream, CAST(CASE WHEN meter < 2 THEN 0 ELSE 1 END AS BIGINT) AS batch_id,
+                    count(*) AS rows FROM readings GROUP BY 1, 2
+             UNION ALL SELECT 'bronze_weather_readings', 0, count(*) FROM weather
+             UNION ALL SELECT 'bronze_building_metadata', 0, count(*) FROM versions
+             UNION ALL SELECT 'silver_weather', 0, count(*) FROM clean_weather) AS t"""
+    ),
+)
+def _(q: Layers):
+    """What each batch wrote, after readings came in two runs; the journals of three hops."""
+    lake = _base_lake(q)
+    for part in (F.col("meter") < 2, F.col("meter") >= 2):
+        write_landing(q.raw("readings").filter(part), lake.landing(METER), parts=1)
+        lakehouse.run_bronze(q.spark, lake)
+    silver_weather(
+        q.spark,
+        lake.table(f"bronze_{WEATHER}"),
+        lake.store(WEATHER),
+        lake.table("silver_weather"),
+        lake.checkpoint("silver_weather"),
+    )
+    return lakehouse.batch_journal(q.spark, lake).select("stream", "batch_id", "rows")
+
+
 # After the second load, dates rebuilt in that run carry the new building versions.
 @query(
     "lakehouse_end_to_end",

@@ -80,10 +80,17 @@ def save_counters(spark: SparkSession, table: str, parts: dict[str, dict], keep_
         files.remove(spark, f"{_place(table)}/{old}.json")
 
 
+def by_part(counted: DataFrame, column: str) -> dict[str, dict]:
+    """Counters as kept, from one row a value of a column with few values, such as dates."""
+    return {
+        str(row[column]): {name: value for name, value in row.asDict().items() if name != column}
+        for row in counted.collect()
+    }
+
+
 def count_parts(df: DataFrame, column: str, flags: Flags | None = None) -> dict[str, dict]:
-    """Counters of each value of a column with few values, such as the dates of a batch."""
-    rows = df.groupBy(F.col(column).cast("string").alias("_part")).agg(*measures(flags)).collect()
-    return {str(row["_part"]): {k: v for k, v in row.asDict().items() if k != "_part"} for row in rows}
+    """Counters of each value of such a column."""
+    return by_part(df.groupBy(column).agg(*measures(flags)), column)
 
 
 def summed(parts: dict[str, dict], names: Iterable[str]) -> dict[str, int]:

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from meterlake.operators.checks import key_surplus
 from meterlake.operators.dedupe import latest_by
 from meterlake.operators.enrich import BASE_YEAR, enrich_readings
 from meterlake.operators.readings import READING_GRAIN, detect_spikes, transform_readings
 from meterlake.sinks import files
-from meterlake.sinks.counters import Flags, Watch, count_parts, save_counters
+from meterlake.sinks.counters import Flags, Watch, by_part, count_parts, save_counters
 from meterlake.sinks.snapshots import read_snapshot
 from meterlake.sinks.tables import (
     overwrite_partitions,
@@ -82,21 +83,38 @@ def stored_stream(spark: SparkSession, table: str, max_files: int | None = None)
 
 
 def note_dates(
-    spark: SparkSession, target: str, column: str, dates: Iterable[dt.date | None], flags: Flags | None
+    spark: SparkSession,
+    target: str,
+    column: str,
+    dates: Iterable[dt.date | None],
+    flags: Flags | None,
+    unique: str | None = None,
 ) -> None:
-    """Keep the counters of replaced dates, which are the only ones read."""
-    if dates:
-        save_counters(spark, target, count_parts(stored_dates(spark, target, column, dates), column, flags))
+    """Keep the counters of replaced dates, which are the only ones read; with a ``unique`` key also
+    its surplus rows. Rows of equal keys have to be of one date."""
+    if not dates:
+        return
+    rows = stored_dates(spark, target, column, dates)
+    parts = count_parts(rows, column, flags)
+    if unique:
+        for part, surplus in by_part(key_surplus(rows, unique, column), column).items():
+            parts[part].update(surplus)
+    save_counters(spark, target, parts)
 
 
 def replace_dates(
-    result: DataFrame, target: str, column: str, dates: Iterable[dt.date | None], flags: Flags | None
+    result: DataFrame,
+    target: str,
+    column: str,
+    dates: Iterable[dt.date | None],
+    flags: Flags | None,
+    unique: str | None = None,
 ) -> dict:
     """Replace dates of a table with rows that do not come from it, and count them."""
     spark, watch = result.sparkSession, Watch(flags)
     grow_table_schema(spark, target, result.schema)
     overwrite_partitions(result, target, column, watch=watch)
-    note_dates(spark, target, column, dates, flags)
+    note_dates(spark, target, column, dates, flags, unique)
     return watch.counts
 
 

@@ -5,8 +5,8 @@ Beside the silver table lie
   ``.closings``  the last known values of each site and day, by month,
   ``.values``    how many filled rows of a site have each value,
   ``.medians``   the medians that follow from these counts.
-A late value changes what later days take over up to the next known one, which the closing values
-tell; it changes the counts by the difference of those days; and only where it moves a median
+A late value changes what later days take over up to that of the next known one, which the closing
+values tell; it changes the counts by the difference of those days; and only where it moves a median
 are the days filled with that median changed too.
 """
 

@@ -11,11 +11,13 @@ from meterlake.operators.enrich import enrich_readings
 from meterlake.operators.readings import detect_spikes, transform_readings
 from meterlake.operators.scd2 import open_versions
 from meterlake.operators.weather import clean_weather
-from meterlake.plans import dims, lakehouse
+from meterlake.plans import dims, lakehouse, quality
 from meterlake.plans.facts import fact_daily_summary, fact_meter_readings
 from meterlake.plans.lakehouse import BUILDING, METER, WEATHER
 from meterlake.queries.landing import SCHEMAS, new_lake, write_landing
+from meterlake.sinks import files
 from meterlake.sinks.snapshots import read_snapshot
+from meterlake.streaming import bronze, weather
 from meterlake.streaming.silver import stored_table
 
 START = dt.datetime(2024, 1, 1)
@@ -91,6 +93,131 @@ def test_replay_and_redelivery_change_nothing(spark, batch_result):
     assert gold(spark, later) == batch_result
 
 
+def report_by_scan(spark, lake):
+    """The report's numbers of the dated tables, from the tables themselves."""
+    out = {}
+    for name, flags in lakehouse.FLAGS.items():
+        df = stored_table(spark, lake.table(name))
+        out[name, "total"] = df.count()
+        for flag in ("zero_readings", "spikes", "unknown_buildings", "null_building_key", "null_date_key"):
+            if flag in flags and name != quality.DAILY:
+                out[name, flag] = df.filter(flags[flag]).count()
+    return out
+
+
+def test_counters_and_kept_checks_equal_the_tables(spark):
+    """Two runs, so that most dates are replaced; then the report and the checks without a scan."""
+    lake, data = new_lake(spark), feeds(spark)
+    write_landing(data[BUILDING], lake.landing(BUILDING))
+    for n in (1, 0):
+        for feed in (METER, WEATHER):
+            write_landing(data[feed].filter(F.pmod(F.hash("timestamp"), F.lit(2)) == n), lake.landing(feed), parts=1)
+        lakehouse.run_lakehouse(spark, lake)
+    report = lakehouse.lake_report(spark, lake)
+    assert report._jdf.queryExecution().executedPlan().toString().startswith(("LocalTableScan", "*(1) Scan ExistingRDD", "Scan ExistingRDD"))
+    got = {(r.table_name, r.metric): r.rows for r in report.collect()}
+    want = report_by_scan(spark, lake)
+    assert {k: got[k] for k in want} == want
+    assert got["bronze_meter_readings", "total"] == 400 and got["bronze_meter_readings", "ingestion_dates"] == 1
+    daily = stored_table(spark, lake.table(quality.DAILY)).agg(F.round(F.avg("data_completeness_pct"))).first()[0]
+    assert got[quality.DAILY, "mean_completeness_pct"] == daily
+
+    facts = [stored_table(spark, lake.table(name)) for name in (quality.FACT, quality.DAILY)]
+    names = ("dim_date", "dim_building", "dim_site", "dim_meter_type", "dim_time_of_day")
+    fresh = quality.gold_checks(*facts, *[read_snapshot(spark, lake.table(n)) for n in names])
+    want = {r.check_name: (r.note, r.bad_rows == 0) for r in fresh.collect()}
+    log = spark.read.parquet(lake.table("gold_quality_log")).collect()
+    assert len(want) == 22 and len(log) == 44
+    # Each run logged all checks; the last run's are those of the tables as they are.
+    logged = [(r.check_name, r.details, r.passed) for r in log]
+    assert all((name, *result) in logged for name, result in want.items())
+    journal = lakehouse.batch_journal(spark, lake).collect()
+    assert len({(r.stream, r.batch_id) for r in journal}) == len(journal) and all(r.seconds > 0 for r in journal)
+    assert sum(r.rows for r in journal if r.stream == "bronze_meter_readings") == 400
+
+
+def observed(hour, **values):
+    row = {"cloud_coverage": 5.0, "precip_depth_1_hr": 1.0, "sea_level_pressure": 1000.0} | values
+    return (1, START + dt.timedelta(hours=hour), 1.0, row["cloud_coverage"], 1.0, row["precip_depth_1_hr"],
+            row["sea_level_pressure"], 90.0, 2.0)
+
+
+class Weather:
+    """Weather taken in and cleaned batch by batch, without the other layers."""
+
+    def __init__(self, spark):
+        self.spark, self.lake, self.rows = spark, new_lake(spark), []
+
+    def take(self, *rows):
+        spark, lake = self.spark, self.lake
+        self.rows += rows
+        write_landing(spark.createDataFrame(rows, SCHEMAS[WEATHER]), lake.landing(WEATHER), parts=1)
+        places = [lake.table(f"bronze_{WEATHER}"), lake.store(WEATHER)]
+        bronze.ingest_csv(spark, lake.landing(WEATHER), *places, lake.checkpoint("b"), "run",
+                          schema=SCHEMAS[WEATHER], ingested_at=lake.ingested_at)
+        before = self.files()
+        weather.silver_weather(spark, *places, lake.table("w"), lake.checkpoint("w"))
+        return sorted(int(day[-2:]) for day, names in self.files().items() if names != before.get(day))
+
+    def files(self):
+        days = [n for n in files.names(self.spark, self.lake.table("w")) if n.startswith("weather_date=")]
+        return {day: files.names(self.spark, f"{self.lake.table('w')}/{day}") for day in days}
+
+    def check(self):
+        latest = {(r[0], r[1]): r for r in self.rows}.values()
+        want = clean_weather(self.spark.createDataFrame(list(latest), SCHEMAS[WEATHER]))
+        got = stored_table(self.spark, self.lake.table("w"))
+        assert bag(got.select(*want.columns)) == bag(want)
+
+
+def test_a_late_value_restates_days_up_to_that_of_the_next_known_one(spark):
+    feed = Weather(spark)
+    gap = {"cloud_coverage": None}
+    assert feed.take(*[observed(24 * d + h, **(gap if 2 <= d <= 6 else {})) for d in range(10) for h in (0, 12)]) == list(range(1, 11))
+    feed.check()
+    # Day 4 gets a cloud value: days 5 to 7 take it over, and day 8 until its own. The median stays.
+    assert feed.take(observed(24 * 3 + 6, cloud_coverage=7.0)) == [4, 5, 6, 7, 8]
+    feed.check()
+    # The next day reaches back to nothing; the same again changes only its own day's files.
+    assert feed.take(observed(24 * 10, sea_level_pressure=None)) == [11]
+    assert feed.take(observed(24 * 10, sea_level_pressure=None)) == [11]
+    feed.check()
+
+
+def test_a_moved_median_restates_the_days_it_fills(spark):
+    feed = Weather(spark)
+    unknown = {"sea_level_pressure": None}
+    first = [observed(24 * d, **(unknown if d < 3 else {"sea_level_pressure": 1000.0 + d})) for d in range(8)]
+    feed.take(*first)
+    feed.check()
+    # Three high values on the last day move the median, which fills the first three days.
+    assert feed.take(*[observed(24 * 7 + h, sea_level_pressure=1100.0) for h in (1, 2, 3, 4, 5)]) == [1, 2, 3, 8]
+    feed.check()
+    # A correction to null takes a value away again.
+    assert 4 in feed.take(observed(24 * 3, **unknown))
+    feed.check()
+
+
+def test_a_batch_repeated_after_any_step_counts_once(spark, monkeypatch):
+    feed = Weather(spark)
+    feed.take(*[observed(24 * d + h, **({"precip_depth_1_hr": None} if h else {})) for d in range(4) for h in (0, 9)])
+    steps = ["overwrite_partitions", "publish", "replace_dates"]
+    for n, step in enumerate(steps):
+        whole = getattr(weather, step)
+
+        def broken(*args, whole=whole, **more):
+            whole(*args, **more)
+            raise RuntimeError("lost")
+
+        rows = [observed(24 * n + 3, precip_depth_1_hr=10.0 + n), observed(24 * n + 9, precip_depth_1_hr=None)]
+        monkeypatch.setattr(weather, step, broken)
+        with pytest.raises(Exception, match="lost"):
+            feed.take(*rows)
+        monkeypatch.setattr(weather, step, whole)
+        feed.take(observed(24 * 5 + n))
+        feed.check()
+
+
 def test_correction_and_building_change(spark):
     lake, data = new_lake(spark), feeds(spark)
     for feed in (BUILDING, METER, WEATHER):
