@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.llm.bytestext import flat, grams, range_hashes
+from meterlake.llm.bytestext import flat, range_hashes
 from meterlake.llm.common import ship, small_batches
 
 UNKNOWN = "und"
@@ -37,12 +37,15 @@ def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 
 def _pieces(data: np.ndarray, begin: np.ndarray, end: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the ``size``-byte n-grams inside the given words, and each one's word."""
-    hashes = grams(data, size)
-    counts = np.maximum(end - begin - size + 1, 0)
+    """Hashes of the n-grams of ``size`` characters inside the given words, and each one's word."""
+    # Characters begin where a byte is no 10xxxxxx; a word ends where one begins.
+    heads = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    low, high = np.searchsorted(heads, begin), np.searchsorted(heads, end)
+    counts = np.maximum(high - low - size + 1, 0)
     word = np.repeat(np.arange(len(begin)), counts)
     ends = np.cumsum(counts)
-    return hashes[begin[word] + np.arange(len(word)) - (ends - counts)[word]], word
+    at = low[word] + np.arange(len(word)) - (ends - counts)[word]
+    return range_hashes(data, heads[at], heads[at + size]), word
 
 
 @dataclass(frozen=True)
