@@ -130,16 +130,16 @@ def remove_repeated_lines(
     doc_id: str = "doc_id",
     text: str = "text",
     long_words: int | None = None,
+    counts: bool = True,
 ) -> DataFrame:
     """The same rows and columns, texts without their repeated runs, and columns ``n_removed``
     and ``n_runs``. A null text stays null, an empty table stays empty; repeated rows come out as
-    often as they went in. A column of the input that has the name of a new one is replaced."""
-    runs = repeated_lines(docs, window, doc_id, text, long_words).withColumnsRenamed(
-        {"doc_id": "__id", "tag": "__tag", "removed": "__removed", "n_removed": "__n"}
-    )
-    joined = docs.withColumn("__own", F.xxhash64(text)).join(
-        runs, (F.col(doc_id) == F.col("__id")) & (F.col("__own") == F.col("__tag")), "left"
-    )
+    often as they went in. A column of the input that has the name of a new one is replaced;
+    without ``counts`` there are no new ones. Other names don't clash with anything."""
+    runs = repeated_lines(docs, window, doc_id, text, long_words)
+    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("row")
+    packed = docs.select(row, F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("own"))
+    joined = packed.join(runs, (packed["id"] == runs["doc_id"]) & (packed["own"] == runs["tag"]), "left")
 
     def kept(v: Column) -> Column:
         ranges = kept_ranges(v["removed"], F.size(v["lines"]).cast("long"))
@@ -151,11 +151,12 @@ def remove_repeated_lines(
         )
         return F.array_join(F.flatten(parts), "\n")
 
-    row = F.struct(F.split(text, "\n").alias("lines"), F.col("__removed").alias("removed"))
-    return joined.withColumns(
-        {
-            text: F.when(F.col("__removed").isNull(), F.col(text)).otherwise(let(row, kept)),
-            "n_removed": F.coalesce("__n", F.lit(0).cast("long")),
-            "n_runs": F.coalesce(F.size("__removed"), F.lit(0)).cast("long"),
-        }
-    ).drop("__own", "__id", "__tag", "__removed", "__n")
+    whole = F.col("row").getField(text)
+    cut = let(F.struct(F.split(whole, "\n").alias("lines"), "removed"), kept)
+    new = {
+        "n_removed": F.coalesce("n_removed", F.lit(0).cast("long")),
+        "n_runs": F.coalesce(F.size("removed"), F.lit(0)).cast("long"),
+    }
+    values = {c: F.col("row").getField(c) for c in docs.columns}
+    values |= {text: F.when(F.col("removed").isNull(), whole).otherwise(cut), **(new if counts else {})}
+    return joined.select(*[value.alias(name) for name, value in values.items()])

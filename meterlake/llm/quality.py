@@ -176,5 +176,7 @@ def ablations(entries: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 def filter_documents(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """The documents that a policy keeps, with all their columns."""
-    measured = ledger(docs.withColumn("__row", F.struct(*[F.col(c) for c in docs.columns])), "__row")
-    return measured.where(keeps(F.col("failed"), policy)).select("doc_id.*")
+    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns])
+    measured = ledger(docs.select(row.alias("row"), "text"), "row")
+    kept = measured.where(keeps(F.col("failed"), policy))
+    return kept.select(*[F.col("doc_id").getField(c).alias(c) for c in docs.columns])

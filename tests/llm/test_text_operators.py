@@ -416,3 +416,27 @@ def test_checksums_of_pieces(spark):
     out = packing.pack(frame(spark, [(1, "hello world")]), WORDS).first()
     assert zlib.crc32(bytes(out.ids)) == zlib.crc32(np.frombuffer(bytes(out.ids), "<u4").tobytes())
     assert out.length == 3 and out.doc_tokens == 3 and out.start == 0 and out.offset == 0
+
+
+def test_columns_of_any_name_pass_the_filters(spark):
+    """Own columns with names that the operators use inside come out as they went in."""
+    names = ["n_removed", "n_runs", "a.b", "__n", "__row", "row", "id", "own", "tag", "removed", "failed"]
+    line = "one two three four five six seven eight nine ten\n"
+    rows = [(d, line * 2 + " ".join(f"word of {d}x{i}" for i in range(60))) for d in range(4)] + [(None, None)]
+    df = frame(spark, rows).withColumns({n: F.lit(f"own {n}") for n in names})
+    for out in (quality.filter_documents(df), lines.remove_repeated_lines(df, counts=False)):
+        assert out.columns == df.columns
+        got = out.select(*[F.col(f"`{n}`") for n in names]).distinct().collect()
+        assert [tuple(r) for r in got] == [tuple(f"own {n}" for n in names)]
+
+
+def test_language_model_uses_whole_characters():
+    import pyarrow as pa
+
+    data, begin, end, _ = language._words(pa.array(["aé日 x", None, "", "日本語"]))
+    for size, want in ((1, 7), (2, 4), (3, 2), (4, 0)):
+        hashes, word = language._pieces(data, begin, end, size)
+        assert len(hashes) == len(word) == want
+    first, _ = language._pieces(data, begin, end, 1)
+    # The character that the first and the third word share has one hash, whatever stands before it.
+    assert first[2] == first[4] and len(set(first.tolist())) == 6
