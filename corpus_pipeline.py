@@ -36,7 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without runs of lines, or lines of 50 words or more, that came before; one left
     without text stays, empty."""
     configure(spark)
-    return _counted(lines.remove_repeated_lines(docs, long_words=50), docs.columns)
+    return _counted(lines.remove_repeated_lines(docs, long_words=50, counts=False), docs.columns)
 
 
 def minhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
