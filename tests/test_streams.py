@@ -190,8 +190,9 @@ def test_a_moved_median_restates_the_days_it_fills(spark):
     first = [observed(24 * d, **(unknown if d < 3 else {"sea_level_pressure": 1000.0 + d})) for d in range(8)]
     feed.take(*first)
     feed.check()
-    # Three high values on the last day move the median, which fills the first three days.
-    assert feed.take(*[observed(24 * 7 + h, sea_level_pressure=1100.0) for h in (1, 2, 3, 4, 5)]) == [1, 2, 3, 8]
+    # High values on the last day move the median, which fills the first three days, and the fourth
+    # until its own value.
+    assert feed.take(*[observed(24 * 7 + h, sea_level_pressure=1100.0) for h in (1, 2, 3, 4, 5)]) == [1, 2, 3, 4, 8]
     feed.check()
     # A correction to null takes a value away again.
     assert 4 in feed.take(observed(24 * 3, **unknown))
