@@ -76,12 +76,12 @@ def repeated_lines(
 
     Lines are what ``\\n`` parts; lines without a word are passed over and stay. Earlier means in
     a document of smaller id, or further up in the same one; what is earlier is judged on the
-    input. Winnowing: of each window of lines the least line hash is its fingerprint, so two
-    equal runs of ``window`` lines or more share one. Positions are joined on fingerprints found
-    more than once, and most lines leave here. A shared fingerprint is extended to both sides by
-    looking up the windows around it: a window's first place is found by aggregation, so a line
-    found everywhere makes no pairs. Neighbouring repeated windows grow together into the
-    longest runs. Equal means equal 64-bit hashes of all lines of a window.
+    input. Of each window of lines the least line hash is its fingerprint, so two equal runs of
+    ``window`` lines or more share one; windows whose fingerprint is found once leave first.
+    Unlike in winnowing all windows are kept, not one a selected minimum: what is left is
+    grouped by the hashes of all lines of a window, whose first place is found by aggregation,
+    so a line found everywhere makes no pairs. Neighbouring repeated windows grow together into
+    the longest runs. Equal means equal 64-bit hashes of all lines of a window.
 
     Documents without repeats have no row. Rows of equal id remove nothing from one another,
     unless within one text; a null id takes no part. ``tag`` is a hash of the text, which tells rows of one

@@ -56,7 +56,7 @@ def repeated_spans(
     """``doc_id, text, others, removed``: the maximal spans of bytes, ``array<struct<begin, end>>``, that
     are covered by a string of ``size`` bytes which also starts in a document with a smaller id.
 
-    Bucket-pointer refinement over a sampled suffix array:
+    A sampled suffix array with buckets, short of bucket-pointer refinement (see 3):
 
     1. Sampling. Every string of ``size`` bytes is represented by one of its suffixes, chosen
        by its own bytes alone. About one suffix in fifteen is left to sort.
@@ -64,9 +64,10 @@ def repeated_spans(
        of a single document need no refinement and go, which is most of them.
     3. Refinement. The suffixes left get their bytes back. Inside a bucket, pieces of equal
        bytes are one class, of which only the smallest document is refined further; then the
-       strings get bucket ids for 2, 4, 8, ... bytes, each made of the bucket ids at two offsets
-       computed the step before, up to ``size``. Sorting on the last ids leaves equal strings
-       side by side, and the least document of each bucket decides.
+       strings get ids for 2, 4, 8, ... bytes, each made of the ids at two offsets computed the
+       step before, up to ``size``. Ids are 64-bit hashes and not ranks, so nothing is sorted on
+       the earlier ones. Sorting on the last ids leaves equal strings side by side, and the
+       least document of each bucket decides.
 
     Exact copies of a whole text are settled first and stay out of the buckets. The order of
     the steps is fixed by content, nothing depends on how rows are spread. Strings are taken as
