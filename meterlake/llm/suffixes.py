@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.llm.bytestext import flat, grams, runs, scramble, window_minima
+from meterlake.llm.bytestext import flat, grams, runs, window_minima
 from meterlake.llm.common import let, ship, small_batches
 
 # A bucket's name is 48 bits of its gram's hash: two grams of one name are told apart later on.
 KEY = np.uint64((1 << 48) - 1)
 LOW, HIGH = np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFF00000000)
+# Marks the name of a bucket that is too large for one task.
+HOT = 1 << 60
 
 
 def sampled_suffixes(
@@ -52,26 +54,29 @@ def repeated_spans(
     gram: int = 20,
     doc_id: str = "doc_id",
     text: str = "text",
+    hot: int = 500_000,
 ) -> DataFrame:
     """``doc_id, text, others, removed``: the maximal spans of bytes, ``array<struct<begin, end>>``, that
     are covered by a string of ``size`` bytes which also starts in a document with a smaller id.
 
-    A sampled suffix array with buckets, short of bucket-pointer refinement (see 3):
+    Bucket-pointer refinement over sampled suffixes:
 
     1. Sampling. Every string of ``size`` bytes is represented by one of its suffixes, chosen
        by its own bytes alone. About one suffix in fifteen is left to sort.
-    2. Initial buckets. Suffixes with the same first ``gram`` bytes meet in one bucket. Buckets
-       of a single document need no refinement and go, which is most of them.
-    3. Refinement. The suffixes left get their bytes back. Inside a bucket, pieces of equal
-       bytes are one class, of which only the smallest document is refined further; then the
-       strings get ids for 2, 4, 8, ... bytes, each made of the ids at two offsets computed the
-       step before, up to ``size``. Ids are 64-bit hashes and not ranks, so nothing is sorted on
-       the earlier ones. Sorting on the last ids leaves equal strings side by side, and the
-       least document of each bucket decides.
-
-    Exact copies of a whole text are settled first and stay out of the buckets. The order of
-    the steps is fixed by content, nothing depends on how rows are spread. Strings are taken as
-    equal if 48 bits of one hash and 64 bits of another are.
+    2. Distribution. Suffixes with the same first ``gram`` bytes meet in one task. Such groups of
+       a single document need no refinement and go, which is most of them. A group of more than
+       ``hot`` suffixes is parted further, by the bytes of the strings themselves, so that no
+       task holds it.
+    3. Refinement (``bucket_pointers``). The suffixes left get their bytes back. Pieces of equal
+       bytes are one class, of which only the smallest document is refined further. All places
+       of the pieces are sorted into buckets by 8 bytes; then the members of each bucket that
+       isn't single are sorted by the bucket pointers of the places 8, 16 and 18 bytes on, which
+       the round before has refined itself, until buckets are single or ``size`` bytes deep. The
+       least document of each last bucket decides.
+
+    Exact copies of a whole text are settled first, by SHA-256, and stay out of the buckets. The
+    order of the steps is fixed by content, nothing depends on how rows are spread. Hashes only
+    decide where suffixes meet; strings are equal if their bytes are.
 
     Documents with an equal id don't remove from one another. A null id neither removes nor
     loses bytes. Texts under ``size`` bytes, empty or null (as empty) lose nothing. Repeated rows
@@ -142,8 +147,15 @@ def repeated_spans(
     bucket = Window.partitionBy("key")
     shared = (
         singles.mapInArrow(sample, "doc_id long, key long")
-        .withColumns({"low": F.min("doc_id").over(bucket), "high": F.max("doc_id").over(bucket)})
+        .withColumns(
+            {
+                "low": F.min("doc_id").over(bucket),
+                "high": F.max("doc_id").over(bucket),
+                "n": F.count("*").over(bucket),
+            }
+        )
         .where("low < high")
+        .withColumn("key", F.when(F.col("n") > hot, F.col("key").bitwiseOR(F.lit(HOT))).otherwise(F.col("key")))
         .select("doc_id", "key")
     )
     by_doc = shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
@@ -153,8 +165,12 @@ def repeated_spans(
         for batch in small_batches(batches, limit=1 << 19):
             data, begins, row, key, first, n = sampled(batch)
             # Who has a shared key is in its bucket, so the keys of a batch can be looked up together.
-            found = np.isin(key, np.asarray(batch.column("keys").flatten()))
+            wanted = np.unique(np.asarray(batch.column("keys").flatten()))
+            found = np.isin(key, wanted & ~HOT)
             row, key, first, n = row[found], key[found], first[found], n[found]
+            large = np.isin(key | HOT, wanted)
+            if large.any():
+                row, key, first, n = _parted(grams(data, size), large, row, key, first, n)
             lengths = n + size - 1
             ends = np.cumsum(lengths)
             source = np.repeat(first - (ends - lengths), lengths) + np.arange(lengths.sum())
@@ -187,6 +203,7 @@ def repeated_spans(
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        rows = 0
         for batch in batches:
             ids, least_ids = np.asarray(batch.column("doc_id")), np.asarray(batch.column("least"))
             repeated = ids > least_ids
@@ -194,14 +211,19 @@ def repeated_spans(
                 again = batch.filter(pa.array(repeated))
                 lengths = flat(again.column("piece"))[2]
                 yield _spans(again, np.asarray(again.column("begin")), lengths)
-            held.append(batch.filter(pa.array(~repeated)).drop_columns(["least"]))
-            if sum(b.num_rows for b in held) > 20_000:
+            batch = batch.filter(pa.array(~repeated)).drop_columns(["least"])
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows += batch.num_rows
+            # The last bucket may go on; while it is the only one, there is nothing to refine yet.
+            if rows > 20_000 and held[0].column("key")[0] != batch.column("key")[-1]:
                 table = pa.Table.from_batches(held).combine_chunks()
                 keys = np.asarray(table["key"])
-                whole = int(np.searchsorted(keys, keys[-1]))  # the last bucket may go on
-                if whole:
-                    yield from _refined(table.slice(0, whole), size)
+                whole = int(np.searchsorted(keys, keys[-1]))
+                yield from _refined(table.slice(0, whole), size)
                 held = table.slice(whole).to_batches()
+                rows = len(keys) - whole
         if held:
             yield from _refined(pa.Table.from_batches(held).combine_chunks(), size)
 
@@ -254,6 +276,60 @@ def _spans(rows: pa.RecordBatch | pa.Table, begins: np.ndarray, lengths: np.ndar
     )
 
 
+def _parted(strings: np.ndarray, large: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``row, key, first, n`` with the suffixes of large buckets as single strings, each in a bucket
+    named by the hash of its bytes."""
+    row, key, first, n = columns
+    times = np.where(large, n, 1)
+    ends = np.cumsum(times)
+    at = np.repeat(np.arange(len(row)), times)
+    large, begin = large[at], first[at] + np.arange(len(at)) - (ends - times)[at]
+    key = key[at]
+    key[large] = (strings[begin[large]] & KEY).view(np.int64)
+    return row[at], key, begin, np.where(large, 1, n[at])
+
+
+def bucket_pointers(data: np.ndarray, begins: np.ndarray, lengths: np.ndarray, size: int) -> np.ndarray:
+    """For each place the pointer to its bucket: equal for two places, with ``size`` bytes left in
+    their pieces, exactly if those bytes are equal.
+
+    A pointer is the rank of the bucket's first member. The first buckets are of 8 bytes (or
+    ``size``). Places equal in ``depth`` bytes are put in order by the pointers of the places
+    ``step <= depth`` on, and then agree in ``depth + step`` bytes. A single place is done: its
+    pointer is its own, at any depth.
+    """
+    depth = min(8, size)
+    left = np.repeat(begins + lengths, lengths) - np.arange(len(data))
+    words = np.zeros(max(0, len(data) - depth + 1), np.uint64)
+    for j in range(depth):
+        words = (words << np.uint64(8)) | data[j : j + len(words)]
+    places = np.flatnonzero(left >= depth)
+    pointer = np.zeros(len(data), np.int64)
+    keys, base = words[places], np.zeros(len(places), np.int64)
+    while True:
+        order = np.argsort(keys, kind="stable")
+        places, keys, base = places[order], keys[order], base[order]
+        index = np.arange(len(places))
+        parent = np.maximum.accumulate(np.where(_begins(base), index, 0))
+        new = _begins(keys)
+        # Where the bucket was, and how many of its members come before.
+        pointer[places] = base + np.maximum.accumulate(np.where(new, index, 0)) - parent
+        if depth >= size:
+            return pointer
+        step = min(depth, size - depth)
+        single = new & np.append(new[1:], True)
+        places = places[~single]
+        places = places[left[places] >= depth + step]
+        base = pointer[places]
+        keys = (base << np.int64(32)) | pointer[places + step]
+        depth += step
+
+
+def _begins(values: np.ndarray) -> np.ndarray:
+    """Which of sorted values differ from the one before."""
+    return np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1]))
+
+
 def _refined(table: pa.Table, size: int) -> Iterator[pa.RecordBatch]:
     """Spans of the rows whose strings a smaller document of their bucket holds."""
     keys, ids = np.asarray(table["key"]), np.asarray(table["doc_id"])
@@ -266,17 +342,16 @@ def _refined(table: pa.Table, size: int) -> Iterator[pa.RecordBatch]:
     table = table.filter(pa.array(mixed[bucket]))
     if not table.num_rows:
         return
-    keys, ids = np.asarray(table["key"]), np.asarray(table["doc_id"])
+    ids = np.asarray(table["doc_id"])
     data, begins, lengths = flat(table["piece"])
-    strings = grams(data, size)
+    pointer = bucket_pointers(data, begins, lengths, size)
     counts = lengths - size + 1
     row = np.repeat(np.arange(len(counts)), counts)
     ends = np.cumsum(counts)
     place = begins[row] + np.arange(len(row)) - (ends - counts)[row]
-    ident = scramble(strings[place] ^ scramble(keys.view(np.uint64))[row])
-    order = np.argsort(ident, kind="stable")
-    sorted_ids, owner = ident[order], ids[row][order]
-    new = np.concatenate(([True], sorted_ids[1:] != sorted_ids[:-1]))
+    order = np.argsort(pointer[place], kind="stable")
+    owner = ids[row][order]
+    new = _begins(pointer[place][order])
     least = np.minimum.reduceat(owner, np.flatnonzero(new))[np.cumsum(new) - 1]
     covered = np.empty(len(row), bool)
     covered[order] = least < owner
