@@ -11,42 +11,63 @@ from meterlake.llm.suffixes import kept_ranges
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
-def _windows(lines: Column, size: int, long_words: int | None = None) -> Column:
-    """Of each window of ``size`` lines that hold a word: the lines' numbers and hashes, and the
-    least hash with its place (the last of equal ones), which is the window's fingerprint.
+def _selected(lines: Column, size: int, long_words: int | None = None) -> Column:
+    """The minima that winnowing selects among the hashes of lines that hold a word, one entry each:
+    its hash as ``fingerprint``, and of the windows of ``size`` lines whose least hash it is (the last
+    of equal ones) all ``lines`` by number and their ``hashes``; a window has ``width`` lines.
 
-    With ``long_words`` also a window of each single line of as many words, and one of all lines
-    of a text that has fewer than ``size``.
+    With ``long_words`` also each single line of as many words, and as one window all lines of a
+    text that has fewer than ``size``.
     """
 
-    def of(ls: Column) -> Column:
-        return F.when(
-            F.size(ls) >= size,
-            F.transform(
-                F.sequence(F.lit(0), F.size(ls) - size),
-                lambda i: let(
-                    F.slice(ls, i + 1, F.lit(size)),
-                    lambda w: F.struct(
-                        F.transform(w, lambda x: x["line"]).alias("lines"),
-                        F.transform(w, lambda x: x["hash"]).alias("hashes"),
-                        F.array_min(F.transform(w, lambda x: x["hash"])).alias("fingerprint"),
-                    ),
-                ),
-            ),
-        )
-
-    def one(ls: Column) -> Column:
+    def entry(ls: Column, fingerprint: Column, width: Column) -> Column:
         return F.struct(
             F.transform(ls, lambda x: x["line"]).alias("lines"),
             F.transform(ls, lambda x: x["hash"]).alias("hashes"),
-            F.array_min(F.transform(ls, lambda x: x["hash"])).alias("fingerprint"),
+            fingerprint.alias("fingerprint"),
+            width.alias("width"),
         )
 
+    def least(ls: Column, i: Column) -> Column:
+        # The place of the least hash of the window that begins at i.
+        return -F.array_min(
+            F.transform(F.slice(ls, i + 1, F.lit(size)), lambda x, j: F.struct(x["hash"], -(i + j)))
+        )["col2"]
+
+    def winnowed(ls: Column) -> Column:
+        def entries(minima: Column) -> Column:
+            # Windows of one minimum are neighbours, so each selected place is a stretch of windows.
+            begins = F.filter(
+                F.sequence(F.lit(0), F.size(minima) - 1),
+                lambda i: (i == 0) | (F.get(minima, i) != F.get(minima, i - 1)),
+            )
+
+            def stretches(firsts: Column) -> Column:
+                return F.transform(
+                    firsts,
+                    lambda i, k: entry(
+                        F.slice(ls, i + 1, F.coalesce(F.get(firsts, k + 1), F.size(minima)) - i + size - 1),
+                        F.get(ls, F.get(minima, i))["hash"],
+                        F.lit(size),
+                    ),
+                )
+
+            return let(begins, stretches)
+
+        places = F.transform(F.sequence(F.lit(0), F.size(ls) - size), lambda i: least(ls, i))
+        return F.when(F.size(ls) >= size, let(places, entries))
+
     def with_single(ls: Column) -> Column:
         # A text of one line is taken as a whole, so no window comes twice.
-        single = F.transform(F.filter(ls, lambda x: x["long"] & (F.size(ls) > 1)), lambda x: one(F.array(x)))
-        whole = F.when((F.size(ls) > 0) & (F.size(ls) < size), F.array(one(ls)))
-        parts = F.array(of(ls), single, whole)
+        single = F.transform(
+            F.filter(ls, lambda x: x["long"] & (F.size(ls) > 1)),
+            lambda x: entry(F.array(x), x["hash"], F.lit(1)),
+        )
+        whole = F.when(
+            (F.size(ls) > 0) & (F.size(ls) < size),
+            F.array(entry(ls, F.array_min(F.transform(ls, lambda x: x["hash"])), F.size(ls))),
+        )
+        parts = F.array(winnowed(ls), single, whole)
         return F.flatten(F.filter(parts, lambda p: p.isNotNull()))
 
     def fields(x: Column, i: Column) -> Column:
@@ -60,7 +81,7 @@ def _windows(lines: Column, size: int, long_words: int | None = None) -> Column:
         return F.struct(*known)
 
     numbered = F.transform(lines, lambda x, i: F.when(x.rlike(HAS_WORD), fields(x, i)))
-    return let(F.filter(numbered, lambda x: x.isNotNull()), with_single if long_words else of)
+    return let(F.filter(numbered, lambda x: x.isNotNull()), with_single if long_words else winnowed)
 
 
 def repeated_lines(
@@ -76,12 +97,13 @@ def repeated_lines(
 
     Lines are what ``\\n`` parts; lines without a word are passed over and stay. Earlier means in
     a document of smaller id, or further up in the same one; what is earlier is judged on the
-    input. Of each window of lines the least line hash is its fingerprint, so two equal runs of
-    ``window`` lines or more share one; windows whose fingerprint is found once leave first.
-    Unlike in winnowing all windows are kept, not one a selected minimum: what is left is
-    grouped by the hashes of all lines of a window, whose first place is found by aggregation,
-    so a line found everywhere makes no pairs. Neighbouring repeated windows grow together into
-    the longest runs. Equal means equal 64-bit hashes of all lines of a window.
+    input. Winnowing: of each window of ``window`` lines the least line hash is selected, one row a
+    selected place, so two equal runs of ``window`` lines or more hold the same fingerprint at the
+    same line. Places are joined with the fingerprints that stand at two places or more; most
+    leave here. From a place left a match is extended both ways, over the windows that its line
+    was selected for, which its row carries; their first place in the corpus is found by
+    aggregation, so a line found everywhere makes no pairs. Matches that touch grow together
+    into the longest runs. Equal means equal 64-bit hashes of all lines of a window.
 
     Documents without repeats have no row. Rows of equal id remove nothing from one another,
     unless within one text; a null id takes no part. ``tag`` is a hash of the text, which tells rows of one
@@ -91,23 +113,28 @@ def repeated_lines(
     clean = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL"
     )
-    found = (
-        clean.select("doc_id", F.xxhash64("text").alias("tag"), _windows(lines, window, long_words).alias("w"))
-        .select("doc_id", "tag", F.inline("w"))
-    )
-    often = (
-        found.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
+    found = clean.select(
+        "doc_id", F.xxhash64("text").alias("tag"), _selected(lines, window, long_words).alias("places")
+    ).select("doc_id", "tag", F.inline("places"))
+    fingerprint = ["fingerprint", "width"]
+    often = found.groupBy(*fingerprint).agg(F.count("*").alias("n")).where("n > 1").select(*fingerprint)
+    windows = F.transform(
+        F.sequence(F.lit(0), F.size("lines") - F.col("width")),
+        lambda i: F.struct(
+            F.slice("lines", i + 1, F.col("width")).alias("lines"),
+            F.slice("hashes", i + 1, F.col("width")).alias("hashes"),
+        ),
     )
-    seeds = found.join(often, "fingerprint")
+    matches = found.join(often, fingerprint).select("doc_id", "tag", F.inline(windows))
     place = F.struct("doc_id", F.col("lines")[0].alias("line"))
     first = (
-        seeds.groupBy("hashes")
+        matches.groupBy("hashes")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .where("first < last")
         .select("hashes", "first")
     )
     covered = (
-        seeds.join(first, "hashes")
+        matches.join(first, "hashes")
         .where(place > F.col("first"))
         .select("doc_id", "tag", F.explode("lines").alias("line"))
         .distinct()

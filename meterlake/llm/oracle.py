@@ -57,13 +57,17 @@ WITH all_lines AS (
          unnest(range(len(string_split(text, chr(10))))) AS pos
   FROM documents WHERE text IS NOT NULL),
 filled AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM all_lines
-  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-pairs AS (
-  SELECT a.doc_id, a.pos AS first_at, b.pos AS second_at,
-         row_number() OVER (PARTITION BY a.line, b.line ORDER BY a.doc_id, a.pos) AS place
-  FROM filled a JOIN filled b ON a.doc_id = b.doc_id AND b.n = a.n + 1),
-removed AS (SELECT DISTINCT doc_id, unnest([first_at, second_at]) AS pos FROM pairs WHERE place > 1),
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n, count(*) OVER (PARTITION BY doc_id) AS n_lines
+  FROM all_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+windows AS (
+  SELECT a.doc_id, [a.pos, b.pos] AS places, [a.line, b.line] AS held
+  FROM filled a JOIN filled b ON a.doc_id = b.doc_id AND b.n = a.n + 1
+  UNION ALL
+  SELECT doc_id, [pos], [line] FROM filled
+  WHERE n_lines = 1 OR len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 50),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY held ORDER BY doc_id, places[1]) AS place FROM windows),
+removed AS (SELECT DISTINCT doc_id, unnest(places) AS pos FROM ranked WHERE place > 1),
 islands AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM removed),
 counts AS (SELECT doc_id, count(*) AS n_removed, count(DISTINCT run) AS n_runs FROM islands GROUP BY doc_id),
 kept AS (

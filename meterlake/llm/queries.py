@@ -110,9 +110,9 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the runs of lines that came before."""
+    """Every document without the runs of lines, and lines of 50 words or more, that came before."""
     configure(spark)
-    out = lines.remove_repeated_lines(documents(spark, sf_dir))
+    out = lines.remove_repeated_lines(documents(spark, sf_dir), long_words=50)
     return out.select("doc_id", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -138,6 +138,28 @@ def test_runs_of_lines(spark):
     assert lines.remove_repeated_lines(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("window", [1, 2, 3, 5])
+def test_winnowed_windows_find_all_runs(spark, window):
+    rng = random.Random(window)
+    rows = []
+    for i in range(120):
+        text = [rng.choice("abcd") if i % 3 else rng.choice("abcdefghijklmnop") for _ in range(rng.randint(0, 14))]
+        rows.append((i, "\n".join(x if rng.random() < 0.9 else " " for x in text)))
+    seen, want = set(), {}
+    for doc, text in rows:
+        filled = [(k, x) for k, x in enumerate(text.split("\n")) if x.strip()]
+        gone = set()
+        for k in range(len(filled) - window + 1):
+            held = tuple(x for _, x in filled[k : k + window])
+            if held in seen:
+                gone.update(n for n, _ in filled[k : k + window])
+            seen.add(held)
+        if gone:
+            want[doc] = gone
+    found = lines.repeated_lines(frame(spark, rows), window).collect()
+    assert {r.doc_id: {n for x in r.removed for n in range(x.begin, x.end)} for r in found} == want
+
+
 def test_long_lines_and_short_texts_are_runs(spark):
     long_, under = " ".join(f"w{i}" for i in range(50)), " ".join(f"w{i}" for i in range(49))
     rows = [
@@ -206,6 +228,55 @@ def test_repeated_bytes_random(spark):
         assert len(r.removed) == want[r.doc_id][2]
 
 
+def test_large_buckets_are_parted(spark):
+    """A gram that a third of all texts hold, with other bytes around it in each."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(300):
+        own = "".join(rng.choice("abcdefgh") for _ in range(60))
+        rows.append((i, own + ("-" * 40 if i % 3 else own[:20]) + own[::-1][: 30 + i % 7]))
+    rows += [(1000 + i, rows[i][1][:90]) for i in range(0, 300, 5)]
+    want = brute.removed_bytes(rows)
+    for hot in (1, 20, 10**6):
+        for r in suffixes.repeated_spans(frame(spark, rows), hot=hot).collect():
+            assert (sum(s.end - s.begin for s in r.removed), len(r.removed)) == want[r.doc_id][1:3]
+
+
+@pytest.mark.parametrize("size", [3, 8, 20, 50])
+def test_bucket_pointers_are_equal_for_equal_bytes_only(size):
+    rng = np.random.default_rng(size)
+    lengths = rng.integers(0, 120, 200)
+    begins = np.cumsum(lengths) - lengths
+    data = rng.integers(97, 99, lengths.sum()).astype(np.uint8)
+    data[begins[50] : begins[50] + lengths[50]] = 97
+    pointer = suffixes.bucket_pointers(data, begins, lengths, size)
+    names = {}
+    for begin, length in zip(begins.tolist(), lengths.tolist(), strict=True):
+        for at in range(begin, begin + length - size + 1):
+            names.setdefault(data[at : at + size].tobytes(), set()).add(int(pointer[at]))
+    assert all(len(found) == 1 for found in names.values())
+    assert len(set.union(*names.values())) == len(names)
+
+
+def test_later_buckets_are_sorted_by_pointers_of_later_offsets(monkeypatch):
+    """Every round after the first sorts the members of buckets that are not single by two pointers."""
+    text = b"x" * 30 + b"the same fifty bytes stand here twice, and then some more" + b"y" * 30
+    data = np.frombuffer(text + text, np.uint8)
+    begins, lengths = np.array([0, len(text)]), np.array([len(text)] * 2)
+    sorted_keys, argsort = [], np.argsort
+
+    def noted(keys, **options):
+        sorted_keys.append(keys.copy())
+        return argsort(keys, **options)
+
+    monkeypatch.setattr(np, "argsort", noted)
+    suffixes.bucket_pointers(data, begins, lengths, 50)
+    assert len(sorted_keys) == 4  # 8 bytes, then 16, 32, 50
+    for keys in sorted_keys[1:]:
+        assert (keys >> 32).max() < len(data) and (keys & 0xFFFFFFFF).max() < len(data)
+        assert len(keys) < len(sorted_keys[0])
+
+
 def test_texts_stay_valid_when_bytes_go(spark):
     shared = "ü" * 40
     rows = [(1, "a" + shared), (2, "é" + shared + "ö"), (3, "plain"), (4, None)]
