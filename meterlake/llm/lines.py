@@ -113,9 +113,14 @@ def repeated_lines(
     clean = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(
         "doc_id IS NOT NULL AND text IS NOT NULL"
     )
-    found = clean.select(
-        "doc_id", F.xxhash64("text").alias("tag"), _selected(lines, window, long_words).alias("places")
-    ).select("doc_id", "tag", F.inline("places"))
+    # Outer, since for an inner one Spark also filters by the array's size, and makes it twice.
+    found = (
+        clean.select(
+            "doc_id", F.xxhash64("text").alias("tag"), _selected(lines, window, long_words).alias("places")
+        )
+        .select("doc_id", "tag", F.inline_outer("places"))
+        .where("fingerprint IS NOT NULL")
+    )
     fingerprint = ["fingerprint", "width"]
     often = found.groupBy(*fingerprint).agg(F.count("*").alias("n")).where("n > 1").select(*fingerprint)
     windows = F.transform(
@@ -125,17 +130,20 @@ def repeated_lines(
             F.slice("hashes", i + 1, F.col("width")).alias("hashes"),
         ),
     )
-    matches = found.join(often, fingerprint).select("doc_id", "tag", F.inline(windows))
-    place = F.struct("doc_id", F.col("lines")[0].alias("line"))
+    matches = found.join(often, fingerprint).select("doc_id", "tag", F.inline_outer(windows))
+    # The tag goes along in both uses of the matches, so that they read one shuffle.
+    place = F.struct("doc_id", F.col("lines")[0].alias("line"), "tag")
+    later = "struct({0}.doc_id, {0}.line) > struct({1}.doc_id, {1}.line)"
     first = (
         matches.groupBy("hashes")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where("first < last")
+        .where(later.format("last", "first"))
         .select("hashes", "first")
     )
     covered = (
-        matches.join(first, "hashes")
-        .where(place > F.col("first"))
+        matches.withColumn("place", place)
+        .join(first, "hashes")
+        .where(later.format("place", "first"))
         .select("doc_id", "tag", F.explode("lines").alias("line"))
         .distinct()
     )
