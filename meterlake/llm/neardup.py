@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,9 @@ from meterlake.llm.common import Scratch, ship, small_batches
 from meterlake.llm.components import components
 
 KEY = "doc_id long, n_shingles long, set_a long, set_b long"
-SAMPLE, SEEN, HOT = 32, 3, 100_000
+# A frequent shingle lies in SEEN documents at least; at most LISTED shingles are frequent.
+SEEN, LISTED = 96, 1 << 20
+BUCKETS, BLOCK, SHIFT = 1 << 22, 1 << 14, np.uint64(42)
 # Sketches are stored with the top bit flipped: signed longs then have the order of the hashes.
 TOP = np.uint64(1 << 63)
 
@@ -30,27 +33,65 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
 
 
-def frequent_shingles(clean: DataFrame, words: int) -> list[int]:
+def bucket_counts(clean: DataFrame, words: int) -> np.ndarray:
+    """How many shingles of all documents fall into each of ``BUCKETS`` buckets, by their first bits.
+
+    Each task counts its own documents and hands on packed blocks of counters, which are added up
+    block by block. What passes the driver has a fixed size.
+    """
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, np.uint32)
+        for _, sets in _sets(batches, words):
+            for s in sets:
+                np.add.at(counts, (s >> SHIFT).astype(np.int64), np.uint32(1))
+        blocks = counts.reshape(-1, BLOCK)
+        used = np.flatnonzero(blocks.any(axis=1))
+        packed = [zlib.compress(blocks[k].tobytes(), 1) for k in used]
+        yield pa.record_batch([pa.array(used, pa.int64()), pa.array(packed, pa.binary())], names=["block", "counts"])
+
+    def add(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        total = np.zeros(BLOCK, np.int64)
+        for packed in rows.column("counts"):
+            total += np.frombuffer(zlib.decompress(packed.as_py()), np.uint32)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "counts": [zlib.compress(total.tobytes(), 1)]})
+
+    kind = "block long, counts binary"
+    counts = np.zeros((BUCKETS // BLOCK, BLOCK), np.int64)
+    for row in clean.mapInArrow(tally, kind).groupBy("block").applyInArrow(add, kind).collect():
+        counts[row["block"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+    return counts.ravel()
+
+
+def frequent_shingles(clean: DataFrame, words: int) -> np.ndarray:
     """Hashes of the shingles that many documents share, the most frequent last.
 
-    Found in one document of 32, chosen by a hash of the id, and at most ``HOT`` of them, so
-    that every task can hold the list. They decide the order in which values are retained,
-    which any order does rightly, and so only the length of inverted lists.
+    All shingles of all documents are counted. Frequent is what ``SEEN`` documents hold or more, and
+    a ``LISTED``-th part of all shingles or more: so many can't be more than ``LISTED``, and every
+    task can hold the list. A shingle is no more frequent than its bucket (``bucket_counts``), so
+    only those of buckets that reach the limit are counted one by one. The list decides the order in
+    which values are retained, which any order does rightly, and so only the length of inverted lists.
     """
+    buckets = bucket_counts(clean, words)
+    limit = max(SEEN, -(-int(buckets.sum()) // LISTED))
+    full = buckets >= limit
+    if not full.any():
+        return np.zeros(0, np.int64)
+    marked = clean.sparkSession.sparkContext.broadcast(np.packbits(full))
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        may_be = np.unpackbits(marked.value).view(bool)
         for _, sets in _sets(batches, words):
             values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+            values = values[may_be[(values >> SHIFT).astype(np.int64)]]
             yield pa.record_batch([pa.array(values.view(np.int64))], names=["value"])
 
-    chosen = clean.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SAMPLE)) == 0)
-    counts = chosen.mapInArrow(explode, "value long").groupBy("value").count().where(F.col("count") >= SEEN)
-    top = counts.orderBy(F.desc("count"), "value").limit(HOT).collect()
-    return [row["value"] for row in reversed(top)]
+    counts = clean.mapInArrow(explode, "value long").groupBy("value").count().where(F.col("count") >= limit)
+    return counts.orderBy("count", F.desc("value")).select("value").toArrow().column("value").to_numpy()
 
 
 def signatures(
-    clean: DataFrame, frequent: list[int], words: int, sketch: int, rare: int, common: int
+    clean: DataFrame, frequent: np.ndarray, words: int, sketch: int, rare: int, common: int
 ) -> DataFrame:
     """For each document: size and two checksums of its set, its bottom-k sketch, and the values
     it retains for the inverted lists.
@@ -60,10 +101,10 @@ def signatures(
     others are retained, and, where frequent ones make up half of the set or more, the least
     ``common`` of those too.
     """
-    ranked = clean.sparkSession.sparkContext.broadcast(np.array(frequent, np.int64).view(np.uint64))
+    ranked = clean.sparkSession.sparkContext.broadcast(np.sort(frequent.view(np.uint64)))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = np.sort(ranked.value)
+        hot = ranked.value
         for batch, sets in _sets(batches, words):
             low, kept, first, second = [], [], [], []
             for s in sets:

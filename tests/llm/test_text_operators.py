@@ -302,6 +302,28 @@ def test_near_duplicate_edge_cases(spark):
     assert near(spark, []) == Counter()
 
 
+def test_frequent_shingles_are_counted_in_all_documents(spark, monkeypatch):
+    """A line in 96 documents is frequent and one in 95 is not, whatever their ids."""
+    r = random.Random(5)
+    often, seldom, ever = ("a b c d e f", "g h i j k l", "m n o p q r")
+    rows = []
+    for i in range(200):
+        shared = [ever, *([often] if i % 2 == 0 and i < 192 else []), *([seldom] if i % 2 and i < 190 else [])]
+        rows.append((i, " ".join([f"w{r.randrange(10**9)}", *(f"{s} x{r.randrange(10**9)}" for s in shared)])))
+    clean = frame(spark, rows)
+
+    def hashes(text):
+        return set(neardup.shingle_sets(*neardup.flat(neardup.pa.array([text])))[0].view(np.int64).tolist())
+
+    found = neardup.frequent_shingles(clean, 5).tolist()
+    assert len(found) == 4 and set(found) == hashes(often) | hashes(ever) and set(found[2:]) == hashes(ever)
+    assert neardup.frequent_shingles(clean.where("doc_id < 100"), 5).tolist() == found[2:]
+    assert neardup.frequent_shingles(clean.limit(0), 5).tolist() == []
+    # With more shingles the limit grows, so that the list stays short and nothing is cut off it.
+    monkeypatch.setattr(neardup, "LISTED", 16)
+    assert set(neardup.frequent_shingles(clean, 5).tolist()) == hashes(ever)
+
+
 def group_of_copies(n, words=80, seed=3):
     """Copies of one text with few to many words changed, and texts that share half of it."""
     r = random.Random(seed)
