@@ -801,7 +801,7 @@ def _(q: Layers):
 # --- streams ------------------------------------------------------------------------------
 
 
-def _land_readings_and_run(q: Layers, rows: DataFrame, lake: lakehouse.LakeConfig, parts: int) -> None:
+def _land_readings_and_run(q: Layers, rows: DataFrame, lake: lakehouse.LakeConfig, parts: int | None = None) -> None:
     write_landing(rows, lake.landing(METER), parts)
     lakehouse.run_lakehouse(q.spark, lake)
 
@@ -920,7 +920,7 @@ def _(q: Layers):
     """All layers, with the readings in two runs: every building-day is met twice."""
     lake = _base_lake(q)
     for part in (F.col("meter") < 2, F.col("meter") >= 2):
-        write_landing(q.raw("readings").filter(part), lake.landing(METER), parts=1)
+        write_landing(q.raw("readings").filter(part), lake.landing(METER))
         for step in (lakehouse.run_bronze, lakehouse.run_silver, lakehouse.run_dimensions, lakehouse.run_facts):
             step(q.spark, lake)
     return stored_table(q.spark, lake.table("fact_daily_building_summary"))
@@ -986,7 +986,7 @@ def _(q: Layers):
     """What each batch wrote, after readings came in two runs; the journals of three hops."""
     lake = _base_lake(q)
     for part in (F.col("meter") < 2, F.col("meter") >= 2):
-        write_landing(q.raw("readings").filter(part), lake.landing(METER), parts=1)
+        write_landing(q.raw("readings").filter(part), lake.landing(METER))
         lakehouse.run_bronze(q.spark, lake)
     silver_weather(
         q.spark,
@@ -1015,7 +1015,7 @@ def _(q: Layers):
     _land_readings_and_run(q, q.raw("readings").filter(F.col("meter") >= 2), first, parts=2)
     second = replace(first, as_of=SECOND, run_id="run-2", ingested_at=INGESTED_AT + dt.timedelta(days=1))
     write_landing(q.raw("changes"), second.landing(BUILDING))
-    _land_readings_and_run(q, q.raw("readings").filter(F.col("meter") < 2), second, parts=1)
+    _land_readings_and_run(q, q.raw("readings").filter(F.col("meter") < 2), second)
     fact = stored_table(q.spark, second.table("fact_meter_readings"))
     buildings = read_snapshot(q.spark, second.table("dim_building")).select("building_key", "primary_use")
     return (

@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every plan in this library relies on. Surrogate keys hash the text of
 # a timestamp, so the zone must be pinned. Adaptive execution splits a hot key's
-# partition in sort-merge joins and re-checks measured sizes before broadcasting.
+# partition in sort-merge joins and re-checks measured sizes before broadcasting. A task of a
+# partitioned write holds few dates, whose files it keeps open instead of sorting its rows.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 

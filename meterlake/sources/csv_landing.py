@@ -153,6 +153,8 @@ def read_landed(
     there = [f for f in evolved.fields if f.name in texts.columns]
     typed = [f for f in there if f.dataType != StringType()]
     misfits = [F.when(_given(f.name) & _fits(f.name, f.dataType).isNull(), F.col(f"`{f.name}`")) for f in typed]
+    # The map is made for lines with a misfit only.
+    any_misfit = F.coalesce(*misfits, F.col(WHOLE_LINE)).isNotNull()
     names = F.array(*[F.lit(f.name) for f in typed], F.lit(WHOLE_LINE))
     fields = F.map_from_arrays(names, F.array(*misfits, F.col(WHOLE_LINE)))
     rescued = F.map_filter(fields, lambda _, text: text.isNotNull())
@@ -164,7 +166,7 @@ def read_landed(
 
     return texts.select(
         *[value(f) for f in evolved.fields],
-        F.when(F.size(rescued) > 0, F.to_json(rescued)).alias(RESCUED),
+        F.when(any_misfit, F.to_json(rescued)).alias(RESCUED),
         SOURCE_FILE,
         SOURCE_TIME,
     )

@@ -19,7 +19,6 @@ from meterlake.sinks.snapshots import read_snapshot
 from meterlake.sinks.tables import (
     overwrite_partitions,
     read_partitions,
-    restate_partitions,
     table_exists,
 )
 from meterlake.sources.csv_landing import SOURCE_FILE, SOURCE_TIME
@@ -153,16 +152,18 @@ def silver_readings(
             history = stored_dates(spark, target, READING_DATE, needed)
             base = history.drop("rolling_avg_7d", "is_spike")
             rows = base.unionByName(incoming, allowMissingColumns=True)
-        # Written once: the rolling mean and the join with it both start from these rows.
+        # Written once: the rolling mean and the join with it both start from these rows. They hold
+        # all that the dates are made from, so a batch that failed while dates were replaced is
+        # repeated from them.
         stage = f"{checkpoint}/stage/{batch_id}"
         rows = latest_by(rows, READING_GRAIN, NEWEST)
-        if not files.exists(spark, f"{stage}/dates/_SUCCESS"):
+        if not files.exists(spark, f"{stage}/rows/_SUCCESS"):
             rows.write.mode("overwrite").parquet(f"{stage}/rows")
         rows = spark.read.schema(rows.schema).parquet(f"{stage}/rows")
         result = detect_spikes(rows, factor, window_days).filter(on_dates(READING_DATE, changed))
         grow_table_schema(spark, target, result.schema)
         watch = Watch(flags)
-        restate_partitions(result, target, READING_DATE, f"{stage}/dates", watch)
+        overwrite_partitions(result, target, READING_DATE, watch=watch)
         note_dates(spark, target, READING_DATE, changed, flags)
         files.remove(spark, stage)
         return watch.counts

@@ -17,8 +17,9 @@ from meterlake.plans.lakehouse import BUILDING, METER, WEATHER
 from meterlake.queries.landing import SCHEMAS, new_lake, write_landing
 from meterlake.sinks import files
 from meterlake.sinks.snapshots import read_snapshot
-from meterlake.streaming import bronze, weather
-from meterlake.streaming.silver import stored_table
+from meterlake.queries import registry
+from meterlake.streaming import bronze, silver, weather
+from meterlake.streaming.silver import on_dates, stored_table
 
 START = dt.datetime(2024, 1, 1)
 
@@ -219,6 +220,60 @@ def test_a_batch_repeated_after_any_step_counts_once(spark, monkeypatch):
         feed.check()
 
 
+def test_dates_half_replaced_are_repaired_from_the_staged_rows(spark, monkeypatch):
+    """Restated dates are written once, straight from the staged rows, and a batch that is lost
+    between two dates is repeated with the same rows."""
+    lake, data = new_lake(spark), feeds(spark)
+    target, whole = lake.table("silver_readings"), silver.overwrite_partitions
+
+    def take(rows):
+        write_landing(rows, lake.landing(METER))
+        repeat()
+
+    def repeat():
+        bronze.ingest_csv(spark, lake.landing(METER), lake.table(f"bronze_{METER}"), lake.store(METER),
+                          lake.checkpoint("bronze"), lake.run_id, SCHEMAS[METER], lake.ingested_at)
+        silver.silver_readings(spark, lake.table(f"bronze_{METER}"), lake.store(METER), target,
+                               lake.checkpoint("silver_readings"))
+
+    def broken(result, path, column, **more):
+        whole(result.filter(on_dates(column, [START.date()])), path, column, **more)
+        assert files.names(spark, f"{lake.checkpoint('silver_readings')}/stage/1") == ["rows"]
+        raise RuntimeError("lost")
+
+    take(data[METER].filter("meter < 2"))
+    monkeypatch.setattr(silver, "overwrite_partitions", broken)
+    with pytest.raises(Exception, match="lost"):
+        take(data[METER].filter("meter >= 2"))
+    monkeypatch.setattr(silver, "overwrite_partitions", whole)
+    repeat()
+    wanted = detect_spikes(transform_readings(data[METER]))
+    assert bag(stored_table(spark, target).select(*wanted.columns)) == bag(wanted)
+
+
+def test_readings_land_in_as_many_files_as_they_have_partitions(spark, monkeypatch, tmp_path):
+    """The daily stream leaves it to Spark how many tasks write what it lands."""
+    class Landed(Exception):
+        pass
+
+    def stop(*_):
+        raise Landed
+
+    events = [(n, START, n, "view", 1.0) for n in range(9)]
+    customers = [(n, n % 3, "BUILDING") for n in range(9)]
+    for name, rows, schema in (
+        ("events", events, "event_id long, ts timestamp, user_id long, event_type string, value double"),
+        ("customer", customers, "c_custkey long, c_nationkey int, c_mktsegment string"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    landed = []
+    monkeypatch.setattr(registry, "write_landing", lambda rows, path, parts=None: landed.append((path, parts)))
+    monkeypatch.setattr(registry.lakehouse, "run_bronze", stop)
+    with pytest.raises(Landed):
+        registry.QUERIES["stream_daily"](spark, str(tmp_path))
+    assert [path.rsplit("/", 1)[1] for path, _ in landed][-1] == METER and {parts for _, parts in landed} == {None}
+
+
 def test_correction_and_building_change(spark):
     lake, data = new_lake(spark), feeds(spark)
     for feed in (BUILDING, METER, WEATHER):
