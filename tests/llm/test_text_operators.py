@@ -315,13 +315,13 @@ def test_frequent_shingles_are_counted_in_all_documents(spark, monkeypatch):
     def hashes(text):
         return set(neardup.shingle_sets(*neardup.flat(neardup.pa.array([text])))[0].view(np.int64).tolist())
 
-    found = neardup.frequent_shingles(clean, 5).tolist()
+    found = list(neardup.frequent_shingles(clean, 5))
     assert len(found) == 4 and set(found) == hashes(often) | hashes(ever) and set(found[2:]) == hashes(ever)
-    assert neardup.frequent_shingles(clean.where("doc_id < 100"), 5).tolist() == found[2:]
-    assert neardup.frequent_shingles(clean.limit(0), 5).tolist() == []
+    assert list(neardup.frequent_shingles(clean.where("doc_id < 100"), 5)) == found[2:]
+    assert list(neardup.frequent_shingles(clean.limit(0), 5)) == []
     # With more shingles the limit grows, so that the list stays short and nothing is cut off it.
     monkeypatch.setattr(neardup, "LISTED", 16)
-    assert set(neardup.frequent_shingles(clean, 5).tolist()) == hashes(ever)
+    assert set(neardup.frequent_shingles(clean, 5)) == hashes(ever)
 
 
 def group_of_copies(n, words=80, seed=3):
