@@ -7,6 +7,8 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -88,41 +90,113 @@ class _Numbers(dict):
         return number
 
 
-def _cut(batches: Iterator[pa.RecordBatch], group_chars: int) -> Iterator[tuple[int, list, list[str]]]:
-    """Runs of texts of about ``group_chars`` in all, with ids, under a hash of the rows. The cut
-    depends on the rows alone, so a task that runs again gives the same names."""
+def _cut(batches: Iterator[pa.RecordBatch], group_chars: int) -> Iterator[tuple[Iterator, object]]:
+    """Runs of texts of about ``group_chars`` in all: their ids and texts, to be read once and in
+    order, and a hash that names the run (``_name``) once they are read. No run is held whole. The
+    cut depends on the rows alone, so a task that runs again gives the same names."""
     from xxhash import xxh3_64
 
-    def closed():
-        name = xxh3_64(repr(ids))
-        for text in texts:
-            name.update(f"{len(text)} ")
+    def numbered():
+        run = size = rows = 0
+        for batch in batches:
+            for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                text = text.as_py()
+                if rows and size + len(text) > group_chars:
+                    run, size, rows = run + 1, 0, 0
+                size, rows = size + len(text), rows + 1
+                yield run, doc.as_py(), text
+
+    def read(rows, name):
+        for _, doc, text in rows:
+            name.update(f"{doc!r} {len(text)} ")
             name.update(text)
-        return name.intdigest() - (1 << 63), ids, texts
-
-    ids, texts, size = [], [], 0
-    for batch in batches:
-        for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-            text = text.as_py()
-            if texts and size + len(text) > group_chars:
-                yield closed()
-                ids, texts, size = [], [], 0
-            ids.append(doc.as_py())
-            texts.append(text)
-            size += len(text)
-    if texts:
-        yield closed()
+            yield doc, text
+
+    for _, rows in groupby(numbered(), key=itemgetter(0)):
+        name = xxh3_64()
+        yield read(rows, name), name
+
+
+def _name(name) -> int:
+    return name.intdigest() - (1 << 63)
 
 
 def _planes(values: np.ndarray) -> bytes:
     """32-bit integers as four rows of bytes; the rows of high bytes compress to almost nothing."""
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return values.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
 def _values(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+# Words of a batch of documents that are put together, and of a step inside a longer document.
+BATCH_WORDS, STEP_WORDS = 1 << 18, 1 << 16
+
+
+def _spelled(left: pa.Table, right: pa.Table, kind: np.dtype, id_arrow: pa.DataType) -> pa.Table:
+    """One group's documents, from its positions (left) and the ids of its words (right).
+
+    The result is made of batches of about ``BATCH_WORDS`` words, so neither side of the stream
+    that carries it holds a second copy of the group.
+    """
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    size = max(left["n_words"].to_pylist(), default=0)
+    # By word: where its ids begin among those of all words, and how many they are.
+    begin, count = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+    parts, at = [np.zeros(0, kind)], 0
+    for numbers, counts, ids in zip(*(right[c].to_pylist() for c in ("numbers", "counts", "ids")), strict=True):
+        numbers, counts = np.cumsum(_values(unpack(numbers))), _values(unpack(counts)).astype(np.int64)
+        parts.append(np.frombuffer(unpack(ids), kind))
+        known = numbers < size
+        begin[numbers[known]] = (at + np.cumsum(counts) - counts)[known]
+        count[numbers[known]] = counts[known]
+        at += len(parts[-1])
+    if (begin < 0).any():
+        raise ValueError("the input came in another order when it was read again")
+    known_ids = np.concatenate(parts)
+    del parts
+
+    def put_together(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some documents in a row, and where each document's end; by its last word."""
+        n = count[words]
+        upto = np.concatenate(([0], np.cumsum(n)))
+        out = np.empty(upto[-1], "<u4")
+        for a in range(0, len(words), STEP_WORDS):
+            b = min(a + STEP_WORDS, len(words))
+            shift = np.repeat(begin[words[a:b]] - upto[a:b], n[a:b])
+            out[upto[a] : upto[b]] = known_ids[shift + np.arange(upto[a], upto[b])]
+        return out, upto[ends]
+
+    batches = []
+    for doc_ids, lengths, numbers in zip(left["doc_ids"], left["lengths"], left["numbers"], strict=True):
+        doc_ids, words = doc_ids.values, _values(unpack(numbers.as_py()))
+        ends = np.cumsum(np.asarray(lengths.values))
+        first = 0
+        while first < len(ends):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + BATCH_WORDS, "right")))
+            ids, upto = put_together(words[before : ends[last - 1]], ends[first:last] - before)
+            offsets = np.concatenate(([0], 4 * upto)).astype(np.int32)
+            batches.append(
+                pa.record_batch(
+                    [
+                        doc_ids.slice(first, last - first).cast(id_arrow),
+                        pa.array(np.diff(offsets) // 4, pa.int64()),
+                        pa.Array.from_buffers(
+                            pa.binary(), last - first, [None, pa.py_buffer(offsets), pa.py_buffer(ids)]
+                        ),
+                    ],
+                    names=["doc_id", "n_tokens", "ids"],
+                )
+            )
+            first = last
+    schema = pa.schema([("doc_id", id_arrow), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+    return pa.Table.from_batches(batches, schema)
+
+
 def encode(
     docs: DataFrame,
     ranks_path: str,
@@ -157,14 +231,19 @@ def encode(
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = _splitter(pattern)
-        for group, _, texts in _cut(batches, group_chars):
+
+        def distinct(rows: Iterator) -> pa.Array:
             found: dict[str, None] = {}
-            for text in texts:
+            for _, text in rows:
                 found.update(dict.fromkeys(find(text)))
+            return pa.array(list(found), pa.string())
+
+        for rows, name in _cut(batches, group_chars):
+            found = distinct(rows)
             yield pa.record_batch(
                 [
-                    pa.array(list(found), pa.string()),
-                    pa.array(np.full(len(found), group, np.int64)),
+                    found,
+                    pa.array(np.full(len(found), _name(name), np.int64)),
                     pa.array(np.arange(len(found), dtype=np.int32)),
                 ],
                 names=["word", "group", "number"],
@@ -172,22 +251,30 @@ def encode(
 
     def positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, pack = _splitter(pattern), zstandard.ZstdCompressor(level=3).compress
-        for group, ids, texts in _cut(batches, group_chars):
-            words, numbers = _Numbers(), []
-            for text in texts:
+
+        def placed(rows: Iterator, name) -> pa.RecordBatch:
+            words, ids, numbers = _Numbers(), [], []
+            for doc, text in rows:
                 found = find(text)
+                ids.append(doc)
                 numbers.append(np.fromiter(map(words.__getitem__, found), np.uint32, len(found)))
-            yield pa.record_batch(
+            n_words, lengths = len(words), [len(x) for x in numbers]
+            del words
+            numbers = np.concatenate(numbers)
+            return pa.record_batch(
                 [
-                    pa.array([group], pa.int64()),
-                    pa.array([len(words)], pa.int64()),
+                    pa.array([_name(name)], pa.int64()),
+                    pa.array([n_words], pa.int64()),
                     pa.array([ids], pa.list_(id_arrow)),
-                    pa.array([[len(x) for x in numbers]], pa.list_(pa.int64())),
-                    pa.array([pack(_planes(np.concatenate(numbers)))], pa.binary()),
+                    pa.array([lengths], pa.list_(pa.int64())),
+                    pa.array([pack(_planes(numbers))], pa.binary()),
                 ],
                 names=["group", "n_words", "doc_ids", "lengths", "numbers"],
             )
 
+        for rows, name in _cut(batches, group_chars):
+            yield placed(rows, name)
+
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = _encoding(ranks_path, pattern)._core_bpe.encode_single_piece
         pack = zstandard.ZstdCompressor(level=1).compress
@@ -230,38 +317,7 @@ def encode(
             yield packed()
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        """One group: the ids of its words, and its positions."""
-        unpack = zstandard.ZstdDecompressor().decompress
-        size = max(left["n_words"].to_pylist(), default=0)
-        table: list[bytes | None] = [None] * size
-        for numbers, counts, ids in zip(
-            *(right[c].to_pylist() for c in ("numbers", "counts", "ids")), strict=True
-        ):
-            ids, at = unpack(ids), 0
-            numbers, counts = np.cumsum(_values(unpack(numbers))), _values(unpack(counts))
-            for word, n in zip(numbers.tolist(), (counts * width).tolist(), strict=True):
-                if word < size:
-                    table[word] = ids[at : at + n]
-                at += n
-        if None in table:
-            raise ValueError("the input came in another order when it was read again")
-        doc_ids, out = [], []
-        for ids, lengths, packed in zip(
-            left["doc_ids"].to_pylist(), left["lengths"].to_pylist(), left["numbers"].to_pylist(), strict=True
-        ):
-            numbers, at = _values(unpack(packed)), 0
-            for doc, n in zip(ids, lengths, strict=True):
-                found = b"".join(map(table.__getitem__, numbers[at : at + n].tolist()))
-                doc_ids.append(doc)
-                out.append(np.frombuffer(found, kind).astype("<u4").tobytes())
-                at += n
-        return pa.table(
-            {
-                "doc_id": pa.array(doc_ids, id_arrow),
-                "n_tokens": pa.array([len(x) // 4 for x in out], pa.int64()),
-                "ids": pa.array(out, pa.binary()),
-            }
-        )
+        return _spelled(left, right, kind, id_arrow)
 
     spelled = clean.mapInArrow(words, "word string, group long, number int")
     by_word = spelled.repartition("word").sortWithinPartitions("word")

@@ -385,6 +385,62 @@ def test_byte_bpe_round_trip(spark):
         bpe.decode(bad, RANKS).collect()
 
 
+def test_byte_bpe_holds_no_group_of_texts_whole():
+    """A group's texts are read one by one: only one batch of them is there at a time."""
+    import tracemalloc
+
+    def batches():
+        for k in range(80):
+            texts = [f"{i} ".ljust(20_000, "x") for i in range(k * 5, k * 5 + 5)]
+            ids = bpe.pa.array(range(k * 5, k * 5 + 5))
+            yield bpe.pa.record_batch([ids, bpe.pa.array(texts)], names=["doc_id", "text"])
+
+    def read(group_chars):
+        return [([(d, len(t)) for d, t in rows], bpe._name(name)) for rows, name in bpe._cut(batches(), group_chars)]
+
+    read(1 << 20)
+    tracemalloc.start()
+    one = read(8 << 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [rows for rows, _ in one] == [[(i, 20_000) for i in range(400)]] and peak < 1 << 20
+    several = read(50_000)
+    assert [len(rows) for rows, _ in several] == [2] * 200 and len({name for _, name in several}) == 200
+    assert read(50_000) == several
+
+
+def test_byte_bpe_puts_documents_together_in_small_batches(monkeypatch):
+    import zstandard
+
+    monkeypatch.setattr(bpe, "BATCH_WORDS", 50)
+    monkeypatch.setattr(bpe, "STEP_WORDS", 7)
+    pack, r, kind = zstandard.compress, random.Random(8), np.dtype("<u2")
+    words = [[r.randrange(60_000) for _ in range(r.randint(1, 5))] for _ in range(40)]
+    docs = [(i if i % 9 else None, [r.randrange(40) for _ in range(r.choice([0, 1, 12, 30, 120]))]) for i in range(60)]
+    right = {"numbers": [], "counts": [], "ids": []}
+    for part in (range(0, 40, 2), range(1, 40, 2)):
+        right["numbers"].append(pack(bpe._planes(np.diff(np.array(part), prepend=0))))
+        right["counts"].append(pack(bpe._planes(np.array([len(words[w]) for w in part]))))
+        right["ids"].append(pack(np.array(sum((words[w] for w in part), []), kind).tobytes()))
+    left = {"n_words": [], "doc_ids": [], "lengths": [], "numbers": []}
+    for part in (docs, docs[:7], []):
+        left["n_words"].append(40)
+        left["doc_ids"].append([d for d, _ in part])
+        left["lengths"].append([len(w) for _, w in part])
+        left["numbers"].append(pack(bpe._planes(np.array(sum((w for _, w in part), []), np.uint32))))
+    long = bpe.pa.int64()
+    for name in ("doc_ids", "lengths"):
+        left[name] = bpe.pa.array(left[name], bpe.pa.list_(long))
+    left = bpe.pa.table(left)
+    out = bpe._spelled(left, bpe.pa.table(right), kind, long)
+    got = [(d, n, np.frombuffer(i, "<u4").tolist()) for d, n, i in zip(*(c.to_pylist() for c in out.columns), strict=True)]
+    want = [(d, sum((words[x] for x in w), [])) for d, w in docs + docs[:7]]
+    assert got == [(d, len(i), i) for d, i in want]
+    assert all(b.num_rows == 1 or sum(b["n_tokens"].to_pylist()) <= 50 * 5 for b in out.to_batches())
+    with pytest.raises(ValueError, match="another order"):
+        bpe._spelled(left, bpe.pa.table(right).slice(0, 1), kind, long)
+
+
 def test_narrow_pattern_finds_the_same_matches():
     import regex
 
